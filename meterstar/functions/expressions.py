@@ -42,10 +42,8 @@ def minutes(seconds: Column) -> Column:
 
 
 def payment_text(code: Column) -> Column:
-    text = F
-    for key, label in PAYMENT_TEXT.items():
-        text = text.when(code == key, label)
-    return text.otherwise(UNKNOWN_PAYMENT)
+    known = [F.when(code == key, label) for key, label in PAYMENT_TEXT.items()]
+    return F.coalesce(*known, F.lit(UNKNOWN_PAYMENT))
 
 
 def date_number(day: Column) -> Column:

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 
 
 def keep_first(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Type 0: add rows whose key is absent; rows already present never change."""
+    """Type 0: add rows whose key is absent; rows already present never change.
+
+    The incoming keys are unique, as a seed's are.
+    """
     return incoming.join(existing, key, "left_anti").unionByName(existing)
 
 
