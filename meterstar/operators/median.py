@@ -26,21 +26,24 @@ def exact_median(
     """Per group, the two middle values `median_low` and `median_high`.
 
     They are equal for an odd weight; their mean is the interpolated median.
-    Equal values may occur in several rows of a group.
+    Equal values may occur in several rows of a group; the group columns and the
+    value must not be null.
     """
-    rows = histogram.filter(F.col(value).isNotNull()).withColumn(
-        "bucket", F.floor(F.col(value) / BUCKET_WIDTH)
-    )
+    # The join below implies these null filters for one of its sides; stating them for
+    # both keeps the two sides equal, so the histogram is computed and shuffled once.
+    rows = histogram.select(
+        *group, value, weight, F.floor(F.col(value) / BUCKET_WIDTH).alias("bucket")
+    ).filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*group, "bucket"]]))
+    place = [*group, "bucket"]
 
     within_group = Window.partitionBy(*group)
     earlier = within_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum("bucket_weight").over(within_group)
     middle = (
-        rows.groupBy(*group, "bucket")
+        rows.groupBy(*place)
         .agg(F.sum(weight).alias("bucket_weight"))
         .select(
-            *[F.col(g).alias(f"middle_{g}") for g in group],
-            F.col("bucket").alias("middle_bucket"),
+            *place,
             "bucket_weight",
             F.coalesce(F.sum("bucket_weight").over(earlier), F.lit(0)).alias("skipped"),
             F.floor((total - 1) / 2).alias("low_rank"),
@@ -50,16 +53,12 @@ def exact_median(
         .drop("bucket_weight")
     )
 
-    same = [F.col(g).eqNullSafe(F.col(f"middle_{g}")) for g in group]
-    same.append(F.col("bucket") == F.col("middle_bucket"))
     lower = (
-        Window.partitionBy(*group, "bucket")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*place).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
     first_rank = F.col("skipped") + F.coalesce(F.sum(weight).over(lower), F.lit(0))
     return (
-        rows.join(middle, reduce(lambda a, b: a & b, same))
+        rows.join(middle, place)
         .withColumn("first_rank", first_rank)
         .filter(
             (F.col("first_rank") <= F.col("high_rank"))

@@ -11,12 +11,14 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from meterstar.plans.etl import load_star
 from meterstar.sources.tables import nation_zones, order_line_trips
 from meterstar.sources.warehouse import Star, read_star
 
-_written: dict[tuple[str, str], str] = {}
+# (application, tables) -> folder of the star and the schemas of its tables.
+_written: dict[tuple[str, str], tuple[str, dict[str, StructType]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,7 +40,7 @@ def star_of(spark: SparkSession, directory: str) -> Star:
     key = (spark.sparkContext.applicationId, directory.rstrip("/"))
     if key in _written:
         try:
-            return read_star(spark, _written[key])
+            return read_star(spark, *_written[key])
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -46,5 +48,5 @@ def star_of(spark: SparkSession, directory: str) -> Star:
     star = load_star(
         order_line_trips(spark, directory), root, nation_zones(spark, directory)
     )
-    _written[key] = root
+    _written[key] = (root, {name: df.schema for name, df in star.tables().items()})
     return star

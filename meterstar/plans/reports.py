@@ -134,28 +134,28 @@ def borough_revenue(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
     )
 
 
-def _exact_median_minutes(trips: DataFrame, dim_zone: DataFrame) -> DataFrame:
+def _named_zones(dim_zone: DataFrame) -> DataFrame:
+    """Zones with one integer `name_key` per (name, borough), which several keys may share."""
+    same_name = Window.partitionBy(*ZONE)
+    zones = build_dim_geography(dim_zone).filter(F.col("zone_key").isNotNull())
+    return zones.select("zone_key", *ZONE, F.min("zone_key").over(same_name).alias("name_key"))
+
+
+def _exact_median_minutes(trips: DataFrame, zones: DataFrame) -> DataFrame:
     histogram = totals(trips, ["pickup_zone_key", "trip_duration"]).join(
-        build_dim_geography(dim_zone), F.col("pickup_zone_key") == F.col("zone_key")
+        zones, F.col("pickup_zone_key") == F.col("zone_key")
     )
     low, high = X.minutes(F.col("median_low")), X.minutes(F.col("median_high"))
-    return exact_median(histogram, ZONE, "trip_duration", "trips").select(
-        *[F.col(c).alias(f"median_{c}") for c in ZONE],
-        X.round2(low + (high - low) * 0.5).alias("median_duration_minutes"),
+    return exact_median(histogram, ["name_key"], "trip_duration", "trips").select(
+        "name_key", X.round2(low + (high - low) * 0.5).alias("median_duration_minutes")
     )
 
 
-def _approx_median_minutes(trips: DataFrame, dim_zone: DataFrame) -> DataFrame:
-    zoned = trips.join(
-        build_dim_geography(dim_zone), F.col("pickup_zone_key") == F.col("zone_key")
-    )
-    return (
-        zoned.groupBy(*[F.col(c).alias(f"median_{c}") for c in ZONE])
-        .agg(F.percentile_approx("trip_duration", 0.5).alias("middle"))
-        .select(
-            *[f"median_{c}" for c in ZONE],
-            X.round2(X.minutes(F.col("middle"))).alias("median_duration_minutes"),
-        )
+def _approx_median_minutes(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    zoned = trips.join(zones, F.col("pickup_zone_key") == F.col("zone_key"))
+    middle = F.percentile_approx("trip_duration", 0.5).alias("middle")
+    return zoned.groupBy("name_key").agg(middle).select(
+        "name_key", X.round2(X.minutes(F.col("middle"))).alias("median_duration_minutes")
     )
 
 
@@ -167,24 +167,21 @@ def zone_durations(
     The median is exact unless `approximate` asks for a sketch.
     """
     trips = fact.filter(F.col("trip_duration") > 0)
+    zones = _named_zones(dim_zone)
     measures = ["trip_duration", "trip_distance", "fare_amount"]
-    busiest = top(_by_zone(trips, dim_zone, measures), n, "trips", *ZONE)
+    by_key = totals(trips, ["pickup_zone_key"], measures).join(
+        zones, F.col("pickup_zone_key") == F.col("zone_key")
+    )
+    by_name = merge(by_key, ["name_key", *ZONE], measures)
     median_of = _approx_median_minutes if approximate else _exact_median_minutes
-    medians = median_of(trips, dim_zone)
-    same_zone = F.col("zone_name").eqNullSafe(F.col("median_zone_name")) & F.col(
-        "borough"
-    ).eqNullSafe(F.col("median_borough"))
-    return (
-        busiest.join(medians, same_zone, "left")
-        .select(
-            *ZONE,
-            F.col("trips").alias("total_trips"),
-            _avg_minutes("avg_duration_minutes"),
-            "median_duration_minutes",
-            _avg("trip_distance", "avg_distance_miles"),
-            _avg("fare_amount", "avg_fare"),
-        )
-        .orderBy(F.desc("total_trips"), *ZONE)
+    with_median = by_name.join(median_of(trips, zones), "name_key")
+    return top(with_median, n, "trips", *ZONE).select(
+        *ZONE,
+        F.col("trips").alias("total_trips"),
+        _avg_minutes("avg_duration_minutes"),
+        "median_duration_minutes",
+        _avg("trip_distance", "avg_distance_miles"),
+        _avg("fare_amount", "avg_fare"),
     )
 
 

@@ -94,4 +94,4 @@ def write_star(
     write_table(dim_payment_of_fact(fact), table_path(root, "dim_payment"))
     if zones is not None:
         write_table(zones, table_path(root, "dim_zone"))
-    return read_star(spark, root, fact.schema)
+    return read_star(spark, root, {"fact_trips": fact.schema})

@@ -19,24 +19,25 @@ def order_line_trips(spark: SparkSession, directory: str) -> DataFrame:
     """Raw trips.
 
     The customer is joined to the orders and not to the lines, so the largest table
-    is shuffled at most once per key. No join is hinted: Spark broadcasts a side only
-    when its size is below the session's threshold, and otherwise sort-merges, with
-    AQE splitting a hot key's partition.
+    is shuffled at most once per key. Orders and lines both grow with the data, hence
+    the merge hint: neither is ever broadcast, and AQE splits a hot order's partition.
+    Customer and supplier carry no hint: Spark broadcasts one only while its size is
+    below the session's threshold, and sort-merges beyond it.
     """
     orders = table(spark, directory, "orders").join(
-        table(spark, directory, "customer"), F.col("o_custkey") == F.col("c_custkey")
+        table(spark, directory, "customer"), F.expr("o_custkey = c_custkey")
     )
-    lines = (
-        orders.join(table(spark, directory, "lineitem"), F.expr("o_orderkey = l_orderkey"))
-        .join(table(spark, directory, "supplier"), F.expr("l_suppkey = s_suppkey"))
+    lines = table(spark, directory, "lineitem").join(
+        orders.hint("merge"), F.expr("l_orderkey = o_orderkey")
     )
+    trips = lines.join(table(spark, directory, "supplier"), F.expr("l_suppkey = s_suppkey"))
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
     tax = F.col("l_tax").cast("decimal(4,2)")
     fare = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(
         F.col("l_extendedprice")
     )
-    return lines.select(
+    return trips.select(
         "l_orderkey",
         "l_linenumber",
         F.col("o_orderdate").alias("tpep_pickup_datetime"),

@@ -38,21 +38,28 @@ def read_table(
     return reader.parquet(table_path(root, name))
 
 
-def read_star(spark: SparkSession, root: str, fact_schema: StructType | None = None) -> Star:
+def read_star(
+    spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None
+) -> Star:
     """All tables of a warehouse; the zone table is optional.
 
-    A stated fact schema spares the look into file footers and lets a fact without
-    any files be read.
+    A stated schema spares the look into that table's file footers, and lets a fact
+    without any files be read.
     """
+    schemas = schemas or {}
+
+    def read(name: str) -> DataFrame:
+        return read_table(spark, root, name, schemas.get(name))
+
     try:
-        zones = read_table(spark, root, "dim_zone")
+        zones = read("dim_zone")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         zones = None
     return Star(
-        fact=read_table(spark, root, "fact_trips", fact_schema),
-        dim_date=read_table(spark, root, "dim_date"),
-        dim_payment=read_table(spark, root, "dim_payment"),
+        fact=read("fact_trips"),
+        dim_date=read("dim_date"),
+        dim_payment=read("dim_payment"),
         dim_zone=zones,
     )

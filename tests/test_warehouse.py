@@ -1,0 +1,234 @@
+"""The whole job on files: layout, round trips, repeated runs, optional parts."""
+
+import os
+import shutil
+from decimal import Decimal
+from glob import glob
+
+import pytest
+from conftest import DATA
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from meterstar.__main__ import main
+from meterstar.operators import audit, quality
+from meterstar.operators.derive import derive_trips
+from meterstar.operators.dimensions import overwrite_changed
+from meterstar.operators.star import build_fact_trips, fact_measures
+from meterstar.plans import etl, mart as mart_module, reports
+from meterstar.schemas import FACT_COLUMNS
+from meterstar.sinks.connector import copy_star, snowflake_options
+from meterstar.sinks.warehouse import rejected_path, replace_table, write_fact
+from meterstar.sources.tables import nation_zones, order_line_trips
+from meterstar.sources.trips import read_trips, read_zones
+from meterstar.sources.warehouse import read_star, read_table
+
+
+@pytest.fixture(scope="module")
+def files(spark, tmp_path_factory):
+    """Raw trip files in two folders and a zone lookup CSV."""
+    root = tmp_path_factory.mktemp("raw")
+    raw = order_line_trips(spark, "/root/testdata/sf0.001")
+    raw.write.parquet(f"{root}/trips")
+    zones = nation_zones(spark, "/root/testdata/sf0.001").collect()
+    with open(root / "zones.csv", "w") as out:
+        out.write("LocationID,Borough,Zone,service_zone\n")
+        out.writelines(f'{z.zone_key},"{z.Borough}","{z.Zone}",Yellow Zone\n' for z in zones)
+    return root
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, files, tmp_path_factory):
+    out = tmp_path_factory.mktemp("out")
+    result = etl.run_files(spark, [f"{files}/trips/*.parquet"], f"{files}/zones.csv",
+                           f"{out}/warehouse", f"{out}/rejected")
+    return out, result
+
+
+def test_tables_and_their_columns(spark, loaded):
+    out, _ = loaded
+    tables = read_star(spark, f"{out}/warehouse").tables()
+    assert {n: t.columns for n, t in tables.items()} == {
+        "dim_date": ["date_key", "year", "month", "day", "quarter"],
+        "dim_payment": ["payment_key", "payment_type"],
+        "dim_zone": ["zone_key", "Borough", "Zone", "service_zone"],
+        "fact_trips": list(FACT_COLUMNS),
+    }
+    types = dict(tables["fact_trips"].dtypes)
+    assert types["pickup_date_key"] == "date" and types["trip_duration"] == "bigint"
+    assert types["pickup_year"] == types["pickup_month"] == "int"
+
+
+def test_every_trip_is_in_exactly_one_output(spark, files, loaded):
+    out, result = loaded
+    counts = result.quality.first()
+    raw = derive_trips(read_trips(spark, f"{files}/trips"))
+    assert counts.asDict() == quality.quality_report(quality.split_counts(raw)).first().asDict()
+    assert counts.total == counts.valid + counts.rejected + counts.undecided == 6000
+    assert result.star.fact.count() == counts.valid == 2086
+    rejected = spark.read.parquet(rejected_path(f"{out}/rejected"))
+    assert rejected.count() == counts.rejected
+    assert set(raw.columns) | {"rejection_reason"} == set(rejected.columns)
+
+
+def test_dimensions_from_the_fact_equal_those_from_the_trips(spark, files, loaded):
+    from meterstar.operators.star import build_dim_date, build_dim_payment
+
+    valid = quality.valid_trips(derive_trips(read_trips(spark, f"{files}/trips")))
+    star = loaded[1].star
+    for ours, direct in [(star.dim_date, build_dim_date(valid)),
+                         (star.dim_payment, build_dim_payment(valid))]:
+        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_second_run_leaves_the_same_rows(spark, files, loaded, tmp_path):
+    def snapshot(star):
+        return {n: sorted(map(repr, t.drop("trip_id").collect())) for n, t in star.tables().items()}
+
+    for _ in range(2):
+        again = etl.run_files(spark, [f"{files}/trips"], f"{files}/zones.csv",
+                              f"{tmp_path}/warehouse", f"{tmp_path}/rejected")
+        assert snapshot(again.star) == snapshot(loaded[1].star)
+
+
+def test_month_overwrite_touches_only_its_months(spark, files, tmp_path):
+    valid = quality.valid_trips(derive_trips(read_trips(spark, f"{files}/trips")))
+    measures = fact_measures(valid)
+    write_fact(measures, f"{tmp_path}/fact")
+    one = measures.filter("pickup_year = 1998 and pickup_month = 3")
+    write_fact(one.limit(1), f"{tmp_path}/fact", months_only=True)
+    fact = spark.read.parquet(f"{tmp_path}/fact")
+    assert one.count() > 1
+    assert fact.count() == 2086 - one.count() + 1
+
+
+def test_layout_has_one_file_per_small_month(loaded):
+    _, result = loaded
+    layout = audit.partition_layout(result.star.fact).collect()
+    assert sum(r.trips for r in layout) == 2086
+    assert {r.files for r in layout} == {1}
+
+
+def test_a_hot_month_is_split_and_ids_stay_unique(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64k")
+    trips = derive_trips(order_line_trips(spark, DATA)).withColumns(
+        {"pickup_year": F.lit(1998), "pickup_month": F.when(F.col("l_linenumber") > 5, 4).otherwise(3)})
+    valid = quality.valid_trips(trips)
+    # Many map tasks, as a large input has: a month is split along them.
+    write_fact(fact_measures(valid.repartition(32)), f"{tmp_path}/fact")
+    fact = spark.read.parquet(f"{tmp_path}/fact")
+    layout = {r.pickup_month: r.files for r in audit.partition_layout(fact).collect()}
+    assert layout[3] > 4
+    assert fact.count() == fact.select("trip_id").distinct().count() == valid.count()
+
+
+def test_in_memory_fact_has_the_warehouse_columns(spark, files):
+    valid = quality.valid_trips(derive_trips(read_trips(spark, f"{files}/trips")))
+    fact = build_fact_trips(valid)
+    assert fact.columns == list(FACT_COLUMNS)
+    assert fact.select("trip_id").distinct().count() == 2086
+
+
+def test_job_without_trips(spark, files, tmp_path):
+    none = read_trips(spark, f"{files}/trips").limit(0)
+    result = etl.run(none, f"{tmp_path}/warehouse", f"{tmp_path}/rejected")
+    assert result.quality.first().asDict() == {
+        "total": 0, "valid": 0, "rejected": 0, "undecided": 0, "pct_valid": 0.0, "pct_rejected": 0.0}
+    assert reports.global_averages(result.star.fact).first().avg_fare is None
+
+
+def test_missing_lookup_leaves_out_the_zone_table(spark, files, tmp_path):
+    assert read_zones(spark, f"{files}/absent.csv") is None
+    result = etl.run_files(spark, [f"{files}/trips"], f"{files}/absent.csv",
+                           f"{tmp_path}/warehouse", f"{tmp_path}/rejected")
+    assert result.star.dim_zone is None and "dim_zone" not in result.star.tables()
+    assert not os.path.exists(f"{tmp_path}/warehouse/dim_zone")
+
+
+def test_zone_lookup_round_trip(spark, files):
+    zones = read_zones(spark, f"{files}/zones.csv")
+    assert zones.dtypes[0] == ("zone_key", "int")
+    expected = {(z.zone_key, z.Borough, z.Zone) for z in nation_zones(spark, DATA).collect()}
+    assert {(z.zone_key, z.Borough, z.Zone) for z in zones.collect()} == expected
+
+
+def test_missing_trips_raise(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        read_trips(spark, f"{tmp_path}/absent")
+
+
+def test_files_of_differing_types_are_read_as_groups(spark, tmp_path):
+    spark.createDataFrame([(1, 2)], "passenger_count bigint, fare_amount bigint").write.parquet(f"{tmp_path}/a")
+    spark.createDataFrame([(3.0, 2.5), (None, float("nan"))], "passenger_count double, fare_amount double"
+                          ).withColumn("extra", F.lit("x")).write.parquet(f"{tmp_path}/b")
+    trips = read_trips(spark, f"{tmp_path}/a", f"{tmp_path}/b")
+    assert dict(trips.dtypes)["fare_amount"] == "decimal(12,2)"
+    rows = {(r.passenger_count, r.fare_amount, r.extra) for r in trips.collect()}
+    assert rows == {(1, Decimal("2.00"), None), (3, Decimal("2.50"), "x"), (None, None, "x")}
+
+
+def test_replacing_a_dimension_by_rows_read_from_it(spark, files, tmp_path):
+    root = f"{tmp_path}/warehouse"
+    read_zones(spark, f"{files}/zones.csv").write.parquet(f"{root}/dim_zone")
+    for _ in range(2):
+        old = read_table(spark, root, "dim_zone")
+        new = old.filter("zone_key = 3").withColumn("Zone", F.lit("RENAMED"))
+        now = replace_table(overwrite_changed(old, new, "zone_key"), root, "dim_zone")
+    assert now.count() == 25
+    assert now.filter("zone_key = 3").first().Zone == "RENAMED"
+
+
+def test_copy_to_a_connector(spark, loaded, tmp_path):
+    star = loaded[1].star
+    assert copy_star(star, None) == []
+    copied = copy_star(star, {"root": str(tmp_path)}, fmt="parquet", target="path")
+    assert copied == ["dim_date", "dim_payment", "dim_zone", "fact_trips"]
+    ids = spark.read.parquet(f"{tmp_path}/fact_trips").select("trip_id")
+    assert ids.exceptAll(star.fact.select("trip_id")).count() == 0
+
+
+def test_connector_options():
+    login = {"SNOWFLAKE_ACCOUNT": "acc", "SNOWFLAKE_USER": "me", "SNOWFLAKE_PASSWORD": "x"}
+    assert snowflake_options({}) is None
+    assert snowflake_options(login | {"SNOWFLAKE_USER": "your_username"}) is None
+    options = snowflake_options(login | {"SNOWFLAKE_DATABASE": "d"})
+    assert options["sfURL"] == "acc.snowflakecomputing.com" and options["sfDatabase"] == "d"
+    assert snowflake_options(login | {"SNOWFLAKE_ACCOUNT": options["sfURL"]})["sfURL"] == options["sfURL"]
+
+
+def test_mart_is_written_once_and_again_if_it_is_gone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mart_module, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(mart_module, "_written", {})
+    first = mart_module.star_of(spark, "/root/testdata/sf0.001")
+    again = mart_module.star_of(spark, "/root/testdata/sf0.001")
+    assert first.fact.inputFiles() == again.fact.inputFiles()
+    assert len(glob(f"{tmp_path}/meterstar-*")) == 1
+    shutil.rmtree(glob(f"{tmp_path}/meterstar-*")[0])
+    assert mart_module.star_of(spark, "/root/testdata/sf0.001").fact.count() == 2086
+
+
+def test_shared_folder_is_the_one_the_session_names():
+    class Session:
+        def __init__(self, configured, master):
+            self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+            self.sparkContext = type("Context", (), {"master": master})
+
+    assert mart_module.shared_folder(Session("/shared/dir/", "yarn")) == "/shared/dir"
+    assert os.path.isdir(mart_module.shared_folder(Session(None, "local[8]")))
+    with pytest.raises(ValueError):
+        mart_module.shared_folder(Session(None, "yarn"))
+
+
+def test_command_line_fails_on_unreadable_input(monkeypatch, spark, tmp_path, capsys):
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    args = ["--zones", "z.csv", "--warehouse", f"{tmp_path}/w", "--quarantine", f"{tmp_path}/q"]
+    assert main(["etl", "--raw", f"{tmp_path}/absent", *args]) == 1
+    assert main(["report", "--warehouse", f"{tmp_path}/w"]) == 1
+
+
+def test_command_line_runs_both_commands(monkeypatch, spark, files, tmp_path, capsys):
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    out = ["--warehouse", f"{tmp_path}/w", "--quarantine", f"{tmp_path}/q"]
+    assert main(["etl", "--raw", f"{files}/trips", "--zones", f"{files}/zones.csv", *out]) == 0
+    assert main(["report", "--warehouse", f"{tmp_path}/w"]) == 0
+    assert "top_pickup_zones" in capsys.readouterr().out
