@@ -1,69 +1,87 @@
-"""Exact grouped median that never gathers one group's values in one place.
+"""Exact grouped median of a whole number, by two aggregations of the rows.
 
-Input is a histogram: (group, integer value, weight). Its values are cut into
-buckets of a fixed width. Bucket weights alone tell which bucket holds the middle
-ranks; only the rows of that bucket are then ranked. A window therefore sees
-either one row per bucket or the distinct values inside one bucket, and both are
-bounded by the bucket width, not by the number of trips.
+The first counts rows per (group, bucket of values); the counts tell which bucket
+holds the middle ranks. The second counts single values, but only inside those
+buckets. Both reduce the rows on the map side to a few counters per group, so little
+is shuffled and no task ever holds a group's values: a window sees one row per bucket
+of a group, or the at most two buckets' worth of distinct values in the middle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# About the square root of a century in seconds: bucket count and bucket size
-# stay of the same order for any plausible duration.
-BUCKET_WIDTH = 1 << 16
+from meterstar.operators.rollup import merged, totals
 
+# One minute of seconds: durations of a day make 1,440 buckets of 60 values.
+BUCKET_WIDTH = 60
 
-def exact_median(
-    histogram: DataFrame, group: Sequence[str], value: str, weight: str
+
+def bucket_of(value: Column) -> Column:
+    return F.floor(value / BUCKET_WIDTH).alias("bucket")
+
+
+def locate_middle(
+    buckets: DataFrame, group: str, labels: Sequence[str] = (), measures: Sequence[str] = ()
 ) -> DataFrame:
-    """Per group, the two middle values `median_low` and `median_high`.
+    """One row per group: its totals and the place of its middle ranks.
 
-    They are equal for an odd weight; their mean is the interpolated median.
-    Equal values may occur in several rows of a group; the group columns and the
-    value must not be null.
+    `buckets` holds one row of `totals` per (group, bucket). `labels` are columns
+    that depend on the group alone. The group must not be null.
     """
-    # The join below implies these null filters for one of its sides; stating them for
-    # both keeps the two sides equal, so the histogram is computed and shuffled once.
-    rows = histogram.select(
-        *group, value, weight, F.floor(F.col(value) / BUCKET_WIDTH).alias("bucket")
-    ).filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*group, "bucket"]]))
-    place = [*group, "bucket"]
-
-    within_group = Window.partitionBy(*group)
-    earlier = within_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("bucket_weight").over(within_group)
-    middle = (
-        rows.groupBy(*place)
-        .agg(F.sum(weight).alias("bucket_weight"))
-        .select(
-            *place,
-            "bucket_weight",
-            F.coalesce(F.sum("bucket_weight").over(earlier), F.lit(0)).alias("skipped"),
-            F.floor((total - 1) / 2).alias("low_rank"),
-            F.floor(total / 2).alias("high_rank"),
-        )
-        .filter("skipped <= high_rank and skipped + bucket_weight > low_rank")
-        .drop("bucket_weight")
+    whole = Window.partitionBy(group)
+    earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = buckets.withColumns(
+        {
+            "skipped": F.coalesce(F.sum("trips").over(earlier), F.lit(0)),
+            "low_rank": F.floor((F.sum("trips").over(whole) - 1) / 2),
+            "high_rank": F.floor(F.sum("trips").over(whole) / 2),
+        }
+    )
+
+    def at(rank: str, column: str) -> Column:
+        holds = F.expr(f"skipped <= {rank} and skipped + trips > {rank}")
+        return F.max(F.when(holds, F.col(column)))
+
+    return ranked.groupBy(group, *labels).agg(
+        *merged(measures),
+        at("low_rank", "bucket").alias("low_bucket"),
+        at("high_rank", "bucket").alias("high_bucket"),
+        at("low_rank", "skipped").alias("skipped"),
+        F.max("low_rank").alias("low_rank"),
+        F.max("high_rank").alias("high_rank"),
     )
 
-    lower = (
-        Window.partitionBy(*place).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+
+def read_middle(rows: DataFrame, places: DataFrame, group: str, value: str) -> DataFrame:
+    """`places` with `median_low` and `median_high`, the two middle values of each group.
+
+    They are equal for an odd number of rows; their mean is the interpolated median.
+    `rows` holds the group, the value and its bucket.
+    """
+    # No row lies between the two buckets, or it would hold one of the middle ranks.
+    near = rows.select(group, value, "bucket").join(places, group).filter(
+        "bucket between low_bucket and high_bucket"
     )
-    first_rank = F.col("skipped") + F.coalesce(F.sum(weight).over(lower), F.lit(0))
+    counted = near.groupBy(*places.columns, value).agg(F.count(F.lit(1)).alias("n"))
+    smaller = (
+        Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    first_rank = F.col("skipped") + F.coalesce(F.sum("n").over(smaller), F.lit(0))
     return (
-        rows.join(middle, place)
-        .withColumn("first_rank", first_rank)
-        .filter(
-            (F.col("first_rank") <= F.col("high_rank"))
-            & (F.col("first_rank") + F.col(weight) > F.col("low_rank"))
-        )
-        .groupBy(*group)
+        counted.withColumn("first_rank", first_rank)
+        .filter("first_rank <= high_rank and first_rank + n > low_rank")
+        .groupBy(*places.columns)
         .agg(F.min(value).alias("median_low"), F.max(value).alias("median_high"))
     )
+
+
+def exact_median(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """`median_low` and `median_high` per group; rows without group or value are left out."""
+    known = rows.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
+    known = known.select(group, value, bucket_of(F.col(value)))
+    places = locate_middle(totals(known, [group, "bucket"]), group)
+    return read_middle(known, places, group, value).select(group, "median_low", "median_high")

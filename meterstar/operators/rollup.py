@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,12 +22,17 @@ def totals(rows: DataFrame, keys: Sequence[str], measures: Sequence[str] = ()) -
     return rows.groupBy(*keys).agg(*parts)
 
 
-def merge(parts: DataFrame, keys: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
-    """Add up rows of `totals` under coarser keys; the shape stays the same."""
+def merged(measures: Sequence[str] = ()) -> list[Column]:
+    """Aggregates that add up rows of `totals` and keep their shape."""
     columns = ["trips"]
     for name in measures:
         columns += [f"{name}_sum", f"{name}_n"]
-    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+    return [F.sum(c).alias(c) for c in columns]
+
+
+def merge(parts: DataFrame, keys: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
+    """Rows of `totals` added up under coarser keys."""
+    return parts.groupBy(*keys).agg(*merged(measures))
 
 
 def top(rows: DataFrame, n: int, by: str, *ties: str) -> DataFrame:

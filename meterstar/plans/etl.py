@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterstar.operators import quality
 from meterstar.operators.derive import derive_trips
 from meterstar.operators.star import fact_measures
-from meterstar.sinks.warehouse import write_quarantine, write_star
+from meterstar.sinks.warehouse import write_quarantine, write_star, write_table
 from meterstar.sources.trips import read_trips, read_zones
 from meterstar.sources.warehouse import Star
 
@@ -65,12 +65,17 @@ def run(
     zones: DataFrame | None = None,
     composed: bool = False,
     already_by_month: bool = False,
+    stage: str | None = None,
 ) -> EtlResult:
     """Run the job on raw trips.
 
     `raw` is evaluated twice, once per written output, each time with that output's
-    filter pushed down. If it is costlier than a file scan, write it first.
+    filter pushed down. If it is costlier than a file scan, or not the same each time,
+    name a `stage` folder: it is written there once and both outputs read that copy.
     """
+    if stage is not None:
+        write_table(raw, stage)
+        raw = raw.sparkSession.read.schema(raw.schema).parquet(stage)
     star = load_star(raw, warehouse, zones, already_by_month)
     set_aside = load_quarantine(raw, quarantine, composed)
     counts = written_counts(star.fact, set_aside)
@@ -83,7 +88,7 @@ def run_files(
     zone_lookup: str,
     warehouse: str,
     quarantine: str,
-    **options: bool,
+    **options: bool | str,
 ) -> EtlResult:
     """Run the job on raw trip files and an optional zone lookup CSV."""
     raw = read_trips(spark, *raw_paths)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterstar.functions import expressions as X
-from meterstar.operators.median import exact_median
+from meterstar.operators.median import bucket_of, locate_middle, read_middle
 from meterstar.operators.rollup import merge, top, totals
 from meterstar.operators.star import build_dim_geography
 
@@ -141,45 +141,43 @@ def _named_zones(dim_zone: DataFrame) -> DataFrame:
     return zones.select("zone_key", *ZONE, F.min("zone_key").over(same_name).alias("name_key"))
 
 
-def _exact_median_minutes(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    histogram = totals(trips, ["pickup_zone_key", "trip_duration"]).join(
-        zones, F.col("pickup_zone_key") == F.col("zone_key")
-    )
-    low, high = X.minutes(F.col("median_low")), X.minutes(F.col("median_high"))
-    return exact_median(histogram, ["name_key"], "trip_duration", "trips").select(
-        "name_key", X.round2(low + (high - low) * 0.5).alias("median_duration_minutes")
-    )
-
-
-def _approx_median_minutes(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    zoned = trips.join(zones, F.col("pickup_zone_key") == F.col("zone_key"))
-    middle = F.percentile_approx("trip_duration", 0.5).alias("middle")
-    return zoned.groupBy("name_key").agg(middle).select(
-        "name_key", X.round2(X.minutes(F.col("middle"))).alias("median_duration_minutes")
-    )
-
-
 def zone_durations(
     fact: DataFrame, dim_zone: DataFrame, n: int = 20, approximate: bool = False
 ) -> DataFrame:
     """Mean and median minutes, distance and fare of the busiest pickup zones.
 
-    The median is exact unless `approximate` asks for a sketch.
+    The median is exact unless `approximate` asks for a sketch. Only the n zones of
+    the result need a median, so the fact is filtered to their middle values by a
+    table of n rows. Spark knows that bound from the limit, and broadcasts the table
+    if it is below the session's threshold.
     """
-    trips = fact.filter(F.col("trip_duration") > 0)
     zones = _named_zones(dim_zone)
+    duration = F.col("trip_duration")
+    trips = fact.filter(duration > 0)
+    labels = ["name_key", *ZONE]
     measures = ["trip_duration", "trip_distance", "fare_amount"]
-    by_key = totals(trips, ["pickup_zone_key"], measures).join(
-        zones, F.col("pickup_zone_key") == F.col("zone_key")
-    )
-    by_name = merge(by_key, ["name_key", *ZONE], measures)
-    median_of = _approx_median_minutes if approximate else _exact_median_minutes
-    with_median = by_name.join(median_of(trips, zones), "name_key")
-    return top(with_median, n, "trips", *ZONE).select(
+    with_bucket = trips.withColumn("bucket", bucket_of(duration))
+    zoned = F.col("pickup_zone_key") == F.col("zone_key")
+
+    if approximate:
+        middle = F.percentile_approx(duration, 0.5).alias("median_low")
+        by_key = totals(trips, ["pickup_zone_key"], measures).join(zones, zoned)
+        sketch = trips.join(zones, zoned).groupBy("name_key").agg(middle)
+        leaders = top(merge(by_key, labels, measures), n, "trips", *ZONE)
+        found = leaders.join(sketch, "name_key").withColumn("median_high", F.col("median_low"))
+    else:
+        by_bucket = totals(with_bucket, ["pickup_zone_key", "bucket"], measures)
+        buckets = merge(by_bucket.join(zones, zoned), [*labels, "bucket"], measures)
+        leaders = top(locate_middle(buckets, "name_key", ZONE, measures), n, "trips", *ZONE)
+        rows = with_bucket.join(zones.drop(*ZONE), zoned)
+        found = read_middle(rows, leaders, "name_key", "trip_duration")
+
+    low, high = X.minutes(F.col("median_low")), X.minutes(F.col("median_high"))
+    return top(found, n, "trips", *ZONE).select(
         *ZONE,
         F.col("trips").alias("total_trips"),
         _avg_minutes("avg_duration_minutes"),
-        "median_duration_minutes",
+        X.round2(low + (high - low) * 0.5).alias("median_duration_minutes"),
         _avg("trip_distance", "avg_distance_miles"),
         _avg("fare_amount", "avg_fare"),
     )

@@ -137,6 +137,21 @@ def test_job_without_trips(spark, files, tmp_path):
     assert reports.global_averages(result.star.fact).first().avg_fare is None
 
 
+def test_staged_run_writes_the_same_outputs(spark, loaded, tmp_path):
+    raw = order_line_trips(spark, "/root/testdata/sf0.001")
+    staged = etl.run(raw, f"{tmp_path}/w", f"{tmp_path}/q", stage=f"{tmp_path}/s")
+    assert staged.quality.collect() == loaded[1].quality.collect()
+    def keys(fact):
+        return sorted(map(repr, fact.drop("trip_id", "congestion_surcharge").collect()))
+    direct = etl.load_star(raw, f"{tmp_path}/direct")
+    assert keys(staged.star.fact) == keys(direct.fact)
+
+
+def test_counts_read_no_trip_columns(loaded, explained):
+    plan = explained(etl.written_counts(loaded[1].star.fact, loaded[1].set_aside))
+    assert plan.count("ReadSchema: struct<>") == 2
+
+
 def test_missing_lookup_leaves_out_the_zone_table(spark, files, tmp_path):
     assert read_zones(spark, f"{files}/absent.csv") is None
     result = etl.run_files(spark, [f"{files}/trips"], f"{files}/absent.csv",
