@@ -103,7 +103,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_counts": quality.split_counts,
         "quality_report": lambda t: quality.quality_report(quality.split_counts(t)),
         "null_audit": lambda t: audit.null_audit(t, NULLABLE),
-        "type_fit_audit": lambda t: audit.type_fit_audit(t.select(*FITTED)),
+        "type_fit_audit": lambda t: audit.type_fit_audit(t.select(*FITTED)).fillna(
+            0, ["max_length", "max_abs"]
+        ),
         "dim_date": lambda t: star.build_dim_date(quality.valid_trips(t)),
         "dim_payment": lambda t: star.build_dim_payment(quality.valid_trips(t)),
         "dim_date_attrs": lambda t: star.calendar_attributes(
@@ -335,18 +337,18 @@ def oracle_sql() -> dict[str, str]:
         "type_fit_audit": """
             select 'payment_type_desc' as column_name, 'VARCHAR(256)' as warehouse_type,
                    cast(max(length(payment_type_desc)) as bigint) as max_length,
-                   cast(null as double) as max_abs,
+                   cast(0 as double) as max_abs,
                    max(length(payment_type_desc)) <= 256 as fits from trips
             union all select 'tpep_pickup_datetime', 'VARCHAR(256)',
-                   cast(max(length(cast(tpep_pickup_datetime as varchar))) as bigint), null,
+                   cast(max(length(cast(tpep_pickup_datetime as varchar))) as bigint), 0,
                    max(length(cast(tpep_pickup_datetime as varchar))) <= 256 from trips
-            union all select 'fare_amount', 'DECIMAL(10,2)', null,
+            union all select 'fare_amount', 'DECIMAL(10,2)', 0,
                    cast(max(abs(fare_amount)) as double), max(abs(fare_amount)) < 100000000
                    from trips
-            union all select 'total_amount', 'DECIMAL(10,2)', null,
+            union all select 'total_amount', 'DECIMAL(10,2)', 0,
                    cast(max(abs(total_amount)) as double), max(abs(total_amount)) < 100000000
                    from trips
-            union all select 'pickup_date', 'DATE', null, null, true""",
+            union all select 'pickup_date', 'DATE', 0, 0, true""",
         "dim_date": "select * from dim_date",
         "dim_payment": "select * from dim_payment",
         "dim_zone": "select * from dim_zone",

@@ -93,15 +93,10 @@ def main() -> None:
         # A new DataFrame per run: collecting one again would reuse its finished stages.
         return timed(lambda: query().collect())
 
-    march = {"total_trips": F.count(F.lit(1)), "fare": F.avg("fare_amount")}
+    one_month = star.dim_date.filter("year = 1998 and month = 3")
     times |= {
         "q1_last_month": run(lambda: reports.last_month(fact, star.dim_date, "1998-04-15")),
-        "q1_without_partition_filter": run(
-            lambda: fact.join(
-                star.dim_date.filter("year = 1998 and month = 3"),
-                F.col("pickup_date_key") == F.col("date_key"),
-            ).agg(*[c.alias(n) for n, c in march.items()])
-        ),
+        "q1_without_partition_filter": run(lambda: reports.monthly_summary(fact, one_month)),
         "q2_top_zones": run(lambda: reports.top_zones(fact, star.dim_zone)),
         "q3_borough_revenue": run(lambda: reports.borough_revenue(fact, star.dim_zone)),
         "q4_zone_duration": run(lambda: reports.zone_durations(fact, star.dim_zone)),

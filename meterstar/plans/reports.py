@@ -167,7 +167,9 @@ def zone_durations(
         found = leaders.join(sketch, "name_key").withColumn("median_high", F.col("median_low"))
     else:
         by_bucket = totals(with_bucket, ["pickup_zone_key", "bucket"], measures)
-        buckets = merge(by_bucket.join(zones, zoned), [*labels, "bucket"], measures)
+        # Placed by name once, the few counters need no further shuffle below.
+        placed = by_bucket.join(zones, zoned).repartition("name_key")
+        buckets = merge(placed, [*labels, "bucket"], measures)
         leaders = top(locate_middle(buckets, "name_key", ZONE, measures), n, "trips", *ZONE)
         rows = with_bucket.join(zones.drop(*ZONE), zoned)
         found = read_middle(rows, leaders, "name_key", "trip_duration")
