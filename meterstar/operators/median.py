@@ -4,7 +4,7 @@ The first counts rows per (group, bucket of values); the counts tell which bucke
 holds the middle ranks. The second counts single values, but only inside those
 buckets. Both reduce the rows on the map side to a few counters per group, so little
 is shuffled and no task ever holds a group's values: a window sees one row per bucket
-of a group, or the at most two buckets' worth of distinct values in the middle.
+of a group, or the distinct values of the one or two buckets in the middle.
 """
 
 from __future__ import annotations
@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 
 from meterstar.operators.rollup import merged, totals
 
-# One minute of seconds: durations of a day make 1,440 buckets of 60 values.
-BUCKET_WIDTH = 60
+# Each doubling of the value is cut into 2**BITS buckets, so a bucket is narrower than
+# 1% of its values, and the positive values of a long fall into at most 7,296 buckets,
+# however far they spread.
+BITS = 7
 
 
 def bucket_of(value: Column) -> Column:
-    return F.floor(value / BUCKET_WIDTH).alias("bucket")
+    """A bucket number that never falls as the whole number `value` grows."""
+    doublings = F.greatest(F.floor(F.log2(value)), F.lit(BITS))
+    leading_bits = F.call_function("shiftright", value, (doublings - BITS).cast("int"))
+    return doublings * 2 ** (BITS + 1) + leading_bits
 
 
 def locate_middle(
@@ -82,6 +87,6 @@ def read_middle(rows: DataFrame, places: DataFrame, group: str, value: str) -> D
 def exact_median(rows: DataFrame, group: str, value: str) -> DataFrame:
     """`median_low` and `median_high` per group; rows without group or value are left out."""
     known = rows.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
-    known = known.select(group, value, bucket_of(F.col(value)))
+    known = known.withColumn("bucket", bucket_of(F.col(value))).select(group, value, "bucket")
     places = locate_middle(totals(known, [group, "bucket"]), group)
     return read_middle(known, places, group, value).select(group, "median_low", "median_high")

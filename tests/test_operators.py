@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterstar.functions import expressions as X
 from meterstar.operators import audit, dimensions, star
-from meterstar.operators.median import BUCKET_WIDTH, exact_median
+from meterstar.operators.median import bucket_of, exact_median
 from meterstar.operators.rollup import merge, top, totals
 from meterstar.plans import reports
 
@@ -50,7 +50,7 @@ def test_top_breaks_ties_by_name(spark):
     assert [r.zone for r in top(rows, 3, "trips", "zone").collect()] == ["a", "b", "d"]
 
 
-@pytest.mark.parametrize("spread", [3, 1000, 40 * BUCKET_WIDTH])
+@pytest.mark.parametrize("spread", [3, 1000, 10**6, 10**12])
 def test_exact_median_against_brute_force(spark, spread):
     rng = random.Random(spread)
     groups = defaultdict(list)
@@ -59,7 +59,8 @@ def test_exact_median_against_brute_force(spark, spread):
         groups[g] = [rng.randrange(1, spread) for _ in range(size)]
     # A hot value holds most of one group, and one group spans distant buckets.
     groups[6] = [5] * 900 + list(range(6, 300))
-    groups[7] = [1, 10 * BUCKET_WIDTH]
+    groups[7] = [1, 10**9]
+    groups[8] = [-5, 0, 0, 4]
     rows = [(g, v) for g, vs in groups.items() for v in vs]
     rows += [(None, 1), (0, None)]
     df = spark.createDataFrame(rows, "g int, v bigint")
@@ -68,6 +69,18 @@ def test_exact_median_against_brute_force(spark, spread):
     assert medians == {g: statistics.median(vs) for g, vs in groups.items()}
 
 
+def test_buckets_never_fall_and_are_few(spark):
+    edges = sorted({v for k in range(63) for v in (2**k - 1, 2**k, 2**k + 1)} | set(range(-3, 3000)))
+    values = spark.createDataFrame([(v,) for v in edges], "v bigint")
+    found = values.select("v", bucket_of(F.col("v")).alias("b")).orderBy("v").collect()
+    numbers = [r.b for r in found]
+    assert numbers == sorted(numbers)
+    positive = [r.b for r in found if r.v > 0]
+    assert positive[-1] - positive[0] < 15_000
+    below = [r.b for r in found if r.v < 128]
+    assert len(set(below)) == len(below)
+
+
 def test_zone_durations_merges_zones_of_one_name(spark):
     trips = [(1, 60), (1, 120), (2, 600), (3, 60), (3, 240), (9, 60)]
     fact = spark.createDataFrame(trips, "pickup_zone_key int, trip_duration bigint").withColumns(
