@@ -71,7 +71,6 @@ def date_column(day: Column | dt.date | str | None) -> Column:
     return day if isinstance(day, Column) else F.lit(day).cast("date")
 
 
-def previous_month(as_of: Column) -> tuple[Column, Column]:
-    """First day of the calendar month before as_of, and first day of as_of's month."""
-    start = F.trunc(F.add_months(as_of, -1), "month")
-    return start, F.trunc(as_of, "month")
+def previous_month(as_of: Column) -> Column:
+    """First day of the calendar month before as_of."""
+    return F.trunc(F.add_months(as_of, -1), "month")

@@ -85,7 +85,7 @@ def last_month(
     fact: DataFrame, dim_date: DataFrame, as_of: Column | dt.date | str | None = None
 ) -> DataFrame:
     """Trips and mean amounts of the calendar month before `as_of` (default today)."""
-    start, _ = X.previous_month(X.date_column(as_of))
+    start = X.previous_month(X.date_column(as_of))
     rows, dates = _of_month(fact, dim_date, F.year(start), F.month(start))
     measures = ["fare_amount", "total_amount", "tip_amount"]
     return _by_date(rows, dates, measures, ["year", "month"]).select(
