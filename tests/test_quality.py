@@ -106,3 +106,29 @@ def test_derived_columns_in_order(spark):
     row = derived.first()
     assert (row.trip_duration, str(row.pickup_date), row.pickup_year, row.pickup_month) == (
         60, "2022-06-15", 2022, 6)
+
+
+def test_split_over_every_mix_of_nulls_and_signs(spark):
+    """All 64 combinations against three-valued logic in Python."""
+    from decimal import Decimal
+    from itertools import product
+
+    values = (None, -1, 0, 1)
+    rows = [(f"{d},{f},{t}", d, f if f is None else Decimal(f), t if t is None else Decimal(t))
+            for d, f, t in product(values, repeat=3)]
+
+    def outcome(d, f, t):
+        rules = [None if d is None else d > 0, None if f is None else f >= 0, None if t is None else t >= 0]
+        return "rejected" if False in rules else "undecided" if None in rules else "valid"
+
+    trips = spark.createDataFrame(rows, EDGE_SCHEMA)
+    want = {name: {r[0] for r in rows if outcome(*r[1:]) == name}
+            for name in ("valid", "rejected", "undecided")}
+    assert names(quality.valid_trips(trips)) == want["valid"]
+    assert names(quality.rejected_trips(trips)) == want["rejected"]
+    assert names(quality.undecided_trips(trips)) == want["undecided"]
+    aside = quality.set_aside(trips).collect()
+    assert {(r["case"], r.outcome) for r in aside} == {
+        (case, name) for name in ("rejected", "undecided") for case in want[name]}
+    counts = quality.split_counts(trips).first().asDict()
+    assert counts == {"total": 64} | {name: len(cases) for name, cases in want.items()}
