@@ -8,6 +8,7 @@ once per application.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,12 @@ from meterstar.plans import reports
 from meterstar.plans.mart import star_of
 from meterstar.sources.tables import nation_zones, order_line_trips, table
 
+# The pipeline package registers its own queries where it is installed.
+if find_spec("meterstar.llm") and find_spec("meterstar.llm.registry"):
+    from meterstar.llm import registry as llm
+else:
+    llm = None
+
 AS_OF = "1998-04-15"
 YEAR, MONTH = 1998, 5
 PRUNED_YEAR, PRUNED_MONTH = 1998, 3
@@ -189,7 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named |= {
         name: (lambda spark, d, f=f: f(star_of(spark, d))) for name, f in on_star.items()
     }
-    return named
+    return named | (llm.queries() if llm else {})
 
 
 # -- oracle --------------------------------------------------------------------
@@ -469,4 +476,5 @@ def oracle_sql() -> dict[str, str]:
                 (select 1 from dim_zone n where n.zone_key + 20 = o.zone_key)
             union all select zone_key + 20, "Borough", "Zone" from dim_zone""",
     }
-    return {name: PREFIX + text for name, text in texts.items()}
+    own = {name: PREFIX + text for name, text in texts.items()}
+    return own | (llm.oracle_sql() if llm else {})
