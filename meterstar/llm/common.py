@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 2000
@@ -49,7 +50,7 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def in_tasks(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def in_tasks(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """mapInArrow with the package importable."""
     importable(df.sparkSession)
     return df.mapInArrow(function, schema)
@@ -60,33 +61,34 @@ def over_texts(
     text: str,
     schema: str,
     make: Callable[[], Callable[[pa.RecordBatch], dict[str, object]]],
+    keep: bool = False,
 ) -> DataFrame:
     """Apply a function of slices in the tasks.
 
     `make` is called once per task and gives the function; that returns the columns of
-    `schema` by name, or an empty dict for no rows.
+    `schema` by name, or an empty dict for no rows. With `keep`, it returns one value per
+    row and the rows keep their own columns.
     """
-    fields = [f.split(":")[0].strip() for f in _top_level(schema)]
+    new = StructType.fromDDL(schema)
+    names = new.fieldNames()
+    own = df.schema.fieldNames() if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for piece in slices(batches, text):
             out = function(piece)
             if out:
+                made = [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n]) for n in names]
                 yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c, pa.Array) else pa.array(c) for c in (out[f] for f in fields)],
-                    names=fields,
+                    [*(piece.columns if keep else []), *made], names=[*own, *names]
                 )
 
-    return in_tasks(df, run, ", ".join(_top_level(schema)))
+    return in_tasks(df, run, StructType([*(df.schema.fields if keep else []), *new.fields]))
 
 
-def _top_level(schema: str) -> list[str]:
-    """'a: long, b: struct<x: int, y: int>' as its two fields."""
-    fields, depth, start = [], 0, 0
-    for i, c in enumerate(schema):
-        depth += (c == "<") - (c == ">")
-        if c == "," and depth == 0:
-            fields.append(schema[start:i].strip())
-            start = i + 1
-    return [*fields, schema[start:].strip()]
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it while the rows have a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstar.llm import bpe, chat, licenses, packing, secrets
+from meterstar.llm import bpe, chat, licenses, packing, quality_rules, secrets
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
@@ -17,6 +17,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return quality_rules.digest(quality_rules.judge(docs, keep_text=False))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_documents(read_table(spark, sf_dir, "documents")))
 
@@ -38,6 +43,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secrets": op2_secrets,
+        "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
         "op7_licenses": op7_licenses,
         "op8_packing": op8_packing,
@@ -66,5 +72,64 @@ from sized group by conv_id
 """
 
 
+# Documents have unique ids here, so a row is a document. Lines are compared as normalised
+# text where the query compares their hashes.
+OP5_SQL = rf"""
+with docs as (select doc_id, coalesce('=' || source, '') as host, coalesce(text, '') as text
+              from documents),
+words as (
+    select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i, len(w) as n
+    from (select doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from docs)),
+windows as (
+    select doc_id, i, string_agg(word, ' ') over eight as gram, count(*) over eight as size
+    from words window eight as (partition by doc_id order by i
+                                rows between current row and 7 following)),
+again as (
+    select doc_id, i from (
+        select doc_id, i, count(*) over (partition by doc_id, gram) as k
+        from windows where size = 8) where k > 1),
+covered as (
+    select doc_id, count(distinct i + o) as n_repeat_words
+    from again, (select unnest(range(8)) as o) group by doc_id),
+measured as (
+    select doc_id, count(*) as n_words, cast(sum(length(word)) as bigint) as word_chars
+    from words group by doc_id),
+lines as (
+    select doc_id, host, text_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as n,
+           regexp_replace(translate(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' '),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[0-9]+', '0', 'g') as mark
+    from (select doc_id, host, md5(text) as text_id, unnest(string_split(text, chr(10))) as line,
+                 generate_subscripts(string_split(text, chr(10)), 1) as i from docs)
+    where regexp_matches(line, '[^\x20\x09-\x0D]')),
+duplicates as (
+    select doc_id, count(*) - count(distinct line) as n_dup_lines from lines group by doc_id),
+hosts as (select host, count(distinct md5(text)) as documents from docs group by host),
+frequent as (
+    select l.host, mark from lines l join hosts h on l.host = h.host
+    group by l.host, mark, documents
+    having count(distinct text_id) >= {quality_rules.MIN_DOCUMENTS}
+       and count(distinct text_id) > {quality_rules.SHARE} * documents),
+removed as (
+    select doc_id, sum(n) as gone from lines l
+    join frequent f on l.host = f.host and l.mark = f.mark group by doc_id),
+joined as (
+    select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(word_chars, 0) as word_chars,
+           cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint)
+               as n_symbols,
+           coalesce(n_dup_lines, 0) as n_dup_lines,
+           coalesce(n_repeat_words, 0) as n_repeat_words,
+           coalesce(n_words, 0) - coalesce(gone, 0) as rest
+    from docs d left join measured using (doc_id) left join duplicates using (doc_id)
+    left join covered using (doc_id) left join removed using (doc_id)),
+failed as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from joined)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and rest >= {quality_rules.MIN_WORDS}
+           and 100 * rest >= {quality_rules.KEEP_PERCENT} * n_words as kept
+from failed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_chat": OP9_SQL}
+    return {"op5_quality_rules": OP5_SQL, "op9_chat": OP9_SQL}
