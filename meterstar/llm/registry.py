@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterstar.llm import bpe, chat, licenses, packing, quality_rules, secrets
+from meterstar.llm import bpe, chat, licenses, packing, quality_rules, secrets, topk
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
@@ -17,6 +18,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(rows.filter(F.col("id") % 20 == 0), rows)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return quality_rules.digest(quality_rules.judge(docs, keep_text=False))
@@ -43,6 +49,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secrets": op2_secrets,
+        "op3_topk": op3_topk,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
         "op7_licenses": op7_licenses,
@@ -72,6 +79,21 @@ from sized group by conv_id
 """
 
 
+OP3_SQL = """
+with scaled as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
+    from embeddings
+    where embedding is not null and vec_id is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+    from scaled q join scaled c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (
+    select query_id, cast(row_number() over (partition by query_id
+        order by score desc, vec_id) as int) as rank, vec_id, score from scored)
+select * from ranked where rank <= 20
+"""
+
 # Documents have unique ids here, so a row is a document. Lines are compared as normalised
 # text where the query compares their hashes.
 OP5_SQL = rf"""
@@ -132,4 +154,4 @@ from failed
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": OP5_SQL, "op9_chat": OP9_SQL}
+    return {"op3_topk": OP3_SQL, "op5_quality_rules": OP5_SQL, "op9_chat": OP9_SQL}
