@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import bpe, chat, licenses, packing, quality_rules, secrets, topk
+from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_rules, secrets, topk
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
@@ -46,6 +46,10 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_log(chat.log_of_turns(rows)))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secrets": op2_secrets,
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_licenses": op7_licenses,
         "op8_packing": op8_packing,
         "op9_chat": op9_chat,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
@@ -153,5 +158,48 @@ from failed
 """
 
 
+OP10_SQL = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+grams as (
+    select distinct doc_id, g from (
+        select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end)
+            as g from words)),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+-- Of linked sets, at least 90 % of either is common, so the 10 % of n-grams that are
+-- rarest, and one more, have a common one.
+rare as (
+    select doc_id, g from (
+        select g.doc_id, g.g, n, row_number() over (partition by g.doc_id order by f, g.g) as r
+        from grams g join (select g, count(*) as f from grams group by g) using (g)
+        join sizes using (doc_id))
+    where r <= n - cast(ceil(0.9 * n) as bigint) + 1),
+pairs as (
+    select distinct a.doc_id as a, b.doc_id as b from rare a join rare b
+    on a.g = b.g and a.doc_id < b.doc_id),
+common as (
+    select p.a, p.b, count(*) as o from pairs p
+    join grams x on x.doc_id = p.a join grams y on y.doc_id = p.b and y.g = x.g group by p.a, p.b),
+links as (
+    select a, b from common join sizes s on s.doc_id = a join sizes t on t.doc_id = b
+    where 100 * o >= 90 * (s.n + t.n - o)),
+edges as (select a, b from links union all select b, a from links),
+-- Links to sets other than the document's own, equal sets once.
+sets as (select doc_id, md5(string_agg(g, chr(10) order by g)) as k from grams group by doc_id),
+linked as (
+    select a as doc_id, count(distinct y.k) as n_links from edges
+    join sets x on x.doc_id = a join sets y on y.doc_id = b where x.k <> y.k group by a),
+reach(node, seen) as (
+    select doc_id, doc_id from documents
+    union select reach.node, edges.b from reach join edges on edges.a = reach.seen)
+select d.doc_id, coalesce(n, 0) as n_shingles, c.component_id,
+       coalesce(n_links, 0) as n_links
+from documents d left join sizes using (doc_id) left join linked using (doc_id)
+join (select node as doc_id, min(seen) as component_id from reach group by node) c using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3_SQL, "op5_quality_rules": OP5_SQL, "op9_chat": OP9_SQL}
+    return {"op3_topk": OP3_SQL, "op10_jaccard_join": OP10_SQL, "op5_quality_rules": OP5_SQL, "op9_chat": OP9_SQL}
