@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_rules, secrets, topk
+from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_rules, secrets, topk, toxicity
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
 HOSTILE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
+def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(
+        docs, read_table(spark, sf_dir, "labels"), learn_from=toxicity.fold("id", 5) != 0,
+        keep_text=False,
+    )
+    return _judged(scored, toxicity.fold("doc_id", 5) == 0)
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -52,6 +68,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_secrets": op2_secrets,
         "op3_topk": op3_topk,
         "op5_quality_rules": op5_quality_rules,
