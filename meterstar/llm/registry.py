@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_rules, secrets, topk, toxicity
+from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_cnn, quality_rules, secrets, topk, toxicity
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
@@ -39,6 +39,15 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows.filter(F.col("id") % 20 == 0), rows)
 
 
+def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_cnn.score_documents(
+        docs, read_table(spark, sf_dir, "labels"), learn_from=toxicity.fold("id", 3) != 1,
+        keep_text=False,
+    )
+    return _judged(scored, toxicity.fold("doc_id", 3) == 1)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return quality_rules.digest(quality_rules.judge(docs, keep_text=False))
@@ -71,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_secrets": op2_secrets,
         "op3_topk": op3_topk,
+        "op4_quality_cnn": op4_quality_cnn,
         "op5_quality_rules": op5_quality_rules,
         "op6_bpe": op6_bpe,
         "op7_licenses": op7_licenses,
