@@ -333,3 +333,21 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def distinct_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                       percent: int = 80, n: int = 5) -> DataFrame:
+    """One row of `docs` per component: the one with the smallest id, nulls last; in its columns.
+
+    Texts without words are linked with nothing and all stay. Of rows alike in id and text,
+    one stays.
+    """
+    row, chosen = free_name(docs, "_row"), free_name(docs, "_component")
+    # The number of a row is frozen by writing it; it stands in for ids that repeat or are null.
+    table = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"),
+                     F.col(row).alias("row"))
+    plain = table.select(order.alias("id"), F.col(text_column).alias("text"))
+    joined = join_documents(plain, "id", "text", percent, n)
+    kept = joined.filter(F.col("id") == F.col("component_id")).select(F.col("id.row").alias(chosen))
+    return table.join(kept, F.col(row) == F.col(chosen), "left_semi").select(*docs.columns)

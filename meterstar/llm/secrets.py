@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import over_texts
+from meterstar.llm.common import free_name, over_texts
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -321,3 +321,28 @@ def redact(text: str) -> str:
             parts += [text[at:a], f"<{KINDS[k].upper()}>"]
         at = b
     return "".join(parts) + text[at:]
+
+
+def redact_documents(docs: DataFrame, text_column: str = "text",
+                     length_column: str = "n_chars") -> DataFrame:
+    """All rows of `docs`, secrets in the text replaced by marks; null texts stay null.
+
+    `length_column`, if there is one, becomes the new text's length where the text changed.
+    """
+    name = free_name(docs, "_redacted")
+
+    def make():
+        def run(batch: pa.RecordBatch) -> dict:
+            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
+            return {name: pa.array([t and redact(t) for t in texts], pa.string())}
+
+        return run
+
+    out = over_texts(docs, text_column, f"`{name}` string", make, keep=True)
+    same = F.col(name).eqNullSafe(F.col(text_column))
+    return out.select(*[
+        F.col(name).alias(c) if c == text_column
+        else F.when(same, F.col(c)).otherwise(F.length(name)).alias(c) if c == length_column
+        else F.col(c)
+        for c in docs.columns
+    ])

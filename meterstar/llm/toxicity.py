@@ -306,3 +306,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, text_column: str = "text
         "labelled",
     )
     return Model.fit(labelled).scored(table, name, score_column).drop(name)
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, limit: float = 0.5,
+                    text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """The rows of `docs` scored below `limit`, in its columns."""
+    score = free_name(docs, "_score")
+    scored = score_documents(docs, labels, text_column, id_column, score_column=score)
+    return scored.filter(F.col(score) < limit).select(*docs.columns)
