@@ -22,6 +22,9 @@ from meterstar.operators.derive import (
 )
 from meterstar.plans import reports
 from meterstar.plans.mart import star_of
+from meterstar.plans.views import warehouse_tables
+from meterstar.scratch import new_folder
+from meterstar.sinks.warehouse import write_fact
 from meterstar.sources.tables import nation_zones, order_line_trips, table
 
 # The pipeline package registers its own queries where it is installed.
@@ -32,11 +35,14 @@ else:
 
 AS_OF = "1998-04-15"
 YEAR, MONTH = 1998, 5
+PREVIEW_ORDER = [
+    "pickup_date_key", "pickup_zone_key", "dropoff_zone_key", "payment_key", "fare_amount",
+    "trip_duration", "passenger_count", "tip_amount", "toll_amount", "total_amount",
+]
 PRUNED_YEAR, PRUNED_MONTH = 1998, 3
 FROM_ZONE, TO_ZONE = 3, 7
 
-NULLABLE = ["tpep_dropoff_datetime", "payment_type", "fare_amount", "trip_distance", "trip_duration"]
-FITTED = ["payment_type_desc", "tpep_pickup_datetime", "fare_amount", "total_amount", "pickup_date"]
+RAW_AUDITED = ["tpep_dropoff_datetime", "payment_type", "fare_amount", "trip_distance", "trip_duration"]
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -93,6 +99,59 @@ def _roundtrip(fact: DataFrame) -> DataFrame:
     )
 
 
+def _too_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips of source types: fares and zones scaled until some fit no fact column."""
+    return _trips(spark, sf_dir).withColumns(
+        {
+            "fare_amount": F.col("fare_amount").cast("double") * 2e7,
+            "PULocationID": F.col("PULocationID") + F.col("l_orderkey") * 100_000,
+            "DOLocationID": F.col("DOLocationID") + F.col("l_linenumber") / 2,
+        }
+    )
+
+
+def _unfit(trips: DataFrame) -> DataFrame:
+    return (
+        quality.set_aside(trips)
+        .filter(F.col("outcome") == quality.UNFIT)
+        .groupBy("rejection_reason")
+        .agg(F.count(F.lit(1)).alias("trips"), F.sum("fare_amount").alias("fares"))
+    )
+
+
+def _after_reload(s) -> DataFrame:
+    """The fact after a month was loaded a second time and another one for the first."""
+    spark, path = s.fact.sparkSession, f"{new_folder(s.fact.sparkSession, 'reloaded')}/fact"
+    measures = s.fact.drop("trip_id")
+    again, late = "pickup_year = 1998 and pickup_month = 3", "pickup_year = 1997 and pickup_month = 1"
+    write_fact(measures.filter(f"not ({late})"), path)
+    write_fact(measures.filter(again), path, months_only=True)
+    write_fact(measures.filter(late), path, months_only=True)
+    return (
+        spark.read.parquet(path)
+        .groupBy("pickup_year")
+        .agg(F.count(F.lit(1)).alias("trips"), F.count_distinct("trip_id").alias("ids"))
+    )
+
+
+def _null_keys(trips: DataFrame) -> DataFrame:
+    """Fact measures with a null payment key for every third line number."""
+    third = F.col("l_linenumber") % 3 == 0
+    return star.fact_measures(
+        trips.withColumn("payment_type", F.when(~third, F.col("payment_type")))
+    )
+
+
+def _null_seed(spark: SparkSession) -> DataFrame:
+    """The payment seed with one code repeated and one null code."""
+    seed = star.payment_seed(spark).drop("is_electronic")
+    more = spark.createDataFrame(
+        [(6, "Again"), (None, "No code"), (None, "Code unknown")],
+        "payment_key int, payment_type string",
+    )
+    return seed.unionByName(more)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Raw tables to written star, then the ten busiest pickup zones."""
     mart = star_of(spark, "/root/testdata/sf0.001")
@@ -109,10 +168,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         .agg(F.count(F.lit(1)).alias("trips")),
         "split_counts": quality.split_counts,
         "quality_report": lambda t: quality.quality_report(quality.split_counts(t)),
-        "null_audit": lambda t: audit.null_audit(t, NULLABLE),
-        "type_fit_audit": lambda t: audit.type_fit_audit(t.select(*FITTED)).fillna(
-            0, ["max_length", "max_abs"]
-        ),
         "dim_date": lambda t: star.build_dim_date(quality.valid_trips(t)),
         "dim_payment": lambda t: star.build_dim_payment(quality.valid_trips(t)),
         "dim_date_attrs": lambda t: star.calendar_attributes(
@@ -153,6 +208,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             s.fact, star.payment_seed(s.fact.sparkSession)
         ),
         "preview": lambda s: reports.preview(s.dim_date, "date_key"),
+        "preview_dim_payment": lambda s: reports.preview(s.dim_payment, "payment_key"),
+        "preview_dim_zone": lambda s: reports.preview(s.dim_zone, "zone_key"),
+        "preview_fact": lambda s: _plain(
+            reports.preview(s.fact.drop("trip_id", "congestion_surcharge"), *PREVIEW_ORDER)
+        ),
+        "type_fit_audit": lambda s: audit.by_table(
+            {
+                name: audit.type_fit_audit(rows.drop("trip_id"), audit.DECLARED[name])
+                for name, rows in warehouse_tables(s).items()
+            }
+        ),
+        "fact_after_month_reload": _after_reload,
+        "scd0_payment_null": lambda s: dimensions.keep_first(
+            s.dim_payment, _null_seed(s.fact.sparkSession), "payment_key"
+        ),
+        "scd0_payment_twice": lambda s: dimensions.keep_first(
+            dimensions.keep_first(s.dim_payment, _null_seed(s.fact.sparkSession), "payment_key"),
+            _null_seed(s.fact.sparkSession),
+            "payment_key",
+        ),
         "fact_roundtrip": lambda s: _roundtrip(s.fact),
         "partition_layout": lambda s: audit.partition_layout(s.fact).select(
             "pickup_year", "pickup_month", "trips", (F.col("files") > 0).alias("has_files")
@@ -179,6 +254,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "l_orderkey", "l_linenumber", "payment_type", "payment_type_desc"
         ),
         "dim_zone": nation_zones,
+        "unfit_values": lambda spark, d: _unfit(_too_large(spark, d)),
+        "null_audit": lambda spark, d: audit.by_table(
+            {
+                name: audit.null_audit(rows, audit.NOT_NULL[name])
+                for name, rows in warehouse_tables(star_of(spark, d)).items()
+            }
+            | {"raw_trips": audit.null_audit(_trips(spark, d), RAW_AUDITED)}
+        ),
+        "fk_null_keys": lambda spark, d: _foreign_keys(
+            _null_keys(_trips(spark, d)), star_of(spark, d)
+        ),
         "pk_duplicates": _primary_keys,
         "fk_orphans_unchecked": lambda spark, d: _foreign_keys(
             star.fact_measures(_trips(spark, d)), star_of(spark, d)
@@ -204,6 +290,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 OK = "trip_duration > 0 and fare_amount >= 0 and trip_distance >= 0"
 REASON = quality.CONSTANT_REASON
 
+# The warehouse's tables in terms of the views below.
+WAREHOUSE_ROWS = {
+    "dim_date": """(select cast(year * 10000 + month * 100 + day as int) as date_key,
+        date_key as "date", day, month, quarter, year, monthname(date_key) as month_name,
+        dayofweek(date_key) + 1 as day_of_week, dayofweek(date_key) in (0, 6) as is_weekend
+        from dim_date)""",
+    "dim_geography": """(select zone_key, "Zone" as zone_name, "Borough" as borough
+        from dim_zone)""",
+    "dim_payment": """(select p.payment_key, p.payment_type,
+        coalesce(s.is_electronic, false) as is_electronic
+        from dim_payment p left join payment_seed s on p.payment_key = s.payment_key)""",
+    "fact_trips": """(select * replace (cast(year(pickup_date_key) * 10000
+        + month(pickup_date_key) * 100 + day(pickup_date_key) as int) as pickup_date_key),
+        cast(null as decimal(12,2)) as congestion_surcharge from fact_trips)""",
+}
+NULL_SEEDED = """
+    select payment_key, payment_type from dim_payment
+    union all select payment_key, payment_type from (values (1, 'Credit card'), (2, 'Cash'),
+        (3, 'No charge'), (4, 'Dispute'), (5, 'Unknown'), (6, 'Again'), (null, 'Code unknown'))
+        as v(payment_key, payment_type)
+    where not exists (select 1 from dim_payment p
+                      where p.payment_key is not distinct from v.payment_key)"""
+
 VIEWS = {
     "raw_trips": """
         select l_orderkey, l_linenumber,
@@ -281,16 +390,37 @@ def _money(*columns: str) -> str:
     return ", ".join(f"cast({c} as double) as {c}" for c in columns)
 
 
-def _nulls(column: str) -> str:
-    return (f"select '{column}' as column_name, "
-            f"count(case when {column} is null then 1 end) as nulls from trips")
+def _nulls(table_name: str, rows: str, column: str) -> str:
+    return (f"select '{table_name}' as table_name, '{column}' as column_name, "
+            f"count(case when \"{column}\" is null then 1 end) as nulls from {rows}")
+
+
+def _fits(table: str, rows: str, column: str, kind: str) -> str:
+    """One row of the type-fit audit; numbers are measured by size, text by length."""
+    base, _, size = kind.rstrip(")").partition("(")
+    value, length, largest = f'"{column}"', "null", f'cast(max(abs("{column}")) as double)'
+    if base == "DECIMAL":
+        digits, places = map(int, size.split(","))
+        good = (f"abs({value}) < 1e{digits - places} and cast({value} as decimal(38,10)) = "
+                f"round(cast({value} as decimal(38,10)), {places})")
+    elif base == "VARCHAR":
+        good, length, largest = f"length({value}) <= {size}", f"max(length({value}))", "null"
+    elif base in audit.RANGES:
+        good = f"{value} {audit.RANGES[base]}"
+    else:
+        good, largest = "true", "null"
+    return f"""select '{table}' as table_name, '{column}' as column_name,
+        '{kind}' as warehouse_type, cast({length} as bigint) as max_length,
+        cast({largest} as double) as max_abs, coalesce(bool_and({good}), true) as fits from {rows}"""
 
 
 def _orphans(rows: str, column: str, dim: str, key: str, name: str) -> str:
     return f"""
         select '{name}' as foreign_key,
                count(distinct case when k.{key} is null then r.{column} end) as orphan_keys,
-               count(case when k.{key} is null then 1 end) as orphan_rows
+               count(case when k.{key} is null and r.{column} is not null then 1 end)
+                   as orphan_rows,
+               count(case when r.{column} is null then 1 end) as null_rows
         from {rows} r left join {dim} k on r.{column} = k.{key}"""
 
 
@@ -333,29 +463,38 @@ def oracle_sql() -> dict[str, str]:
             count(*) as trips from rejected_trips group by 1""",
         "split_counts": f"""select count(*) as total, count(case when {OK} then 1 end) as valid,
             count(case when not ({OK}) then 1 end) as rejected,
-            count(case when ({OK}) is null then 1 end) as undecided from trips""",
-        "quality_report": f"""select total, valid, rejected, undecided,
+            count(case when ({OK}) is null then 1 end) as undecided,
+            count(case when {OK} and greatest(abs(fare_amount), trip_distance) >= 1e12 then 1 end)
+                as unfit from trips""",
+        "quality_report": f"""select total, valid, rejected, undecided, unfit,
             {_r2("case when total > 0 then valid * 100.0 / total else 0 end")} as pct_valid,
             {_r2("case when total > 0 then rejected * 100.0 / total else 0 end")} as pct_rejected
             from (select count(*) as total, count(case when {OK} then 1 end) as valid,
                 count(case when not ({OK}) then 1 end) as rejected,
-                count(case when ({OK}) is null then 1 end) as undecided from trips) c""",
-        "null_audit": " union all ".join(_nulls(c) for c in NULLABLE),
-        "type_fit_audit": """
-            select 'payment_type_desc' as column_name, 'VARCHAR(256)' as warehouse_type,
-                   cast(max(length(payment_type_desc)) as bigint) as max_length,
-                   cast(0 as double) as max_abs,
-                   max(length(payment_type_desc)) <= 256 as fits from trips
-            union all select 'tpep_pickup_datetime', 'VARCHAR(256)',
-                   cast(max(length(cast(tpep_pickup_datetime as varchar))) as bigint), 0,
-                   max(length(cast(tpep_pickup_datetime as varchar))) <= 256 from trips
-            union all select 'fare_amount', 'DECIMAL(10,2)', 0,
-                   cast(max(abs(fare_amount)) as double), max(abs(fare_amount)) < 100000000
-                   from trips
-            union all select 'total_amount', 'DECIMAL(10,2)', 0,
-                   cast(max(abs(total_amount)) as double), max(abs(total_amount)) < 100000000
-                   from trips
-            union all select 'pickup_date', 'DATE', 0, 0, true""",
+                count(case when ({OK}) is null then 1 end) as undecided,
+                count(case when {OK} and greatest(abs(fare_amount), trip_distance) >= 1e12
+                      then 1 end) as unfit from trips) c""",
+        "unfit_values": f"""
+            select 'Value does not fit: ' || concat_ws(',',
+                case when "PULocationID" + l_orderkey * 100000 > 2147483647 then 'PULocationID' end,
+                case when l_linenumber % 2 = 1 then 'DOLocationID' end,
+                case when cast(fare_amount as double) * 2e7 >= 999999999999.9999995 then 'fare_amount'
+                end) as rejection_reason, count(*) as trips,
+                sum(cast(fare_amount as double) * 2e7) as fares
+            from trips where coalesce({OK}, true) and ("PULocationID" + l_orderkey * 100000 > 2147483647
+                or l_linenumber % 2 = 1 or cast(fare_amount as double) * 2e7 >= 999999999999.9999995)
+            group by 1""",
+        "null_audit": " union all ".join(
+            [_nulls(t, WAREHOUSE_ROWS[t], c) for t, columns in audit.NOT_NULL.items()
+             for c in columns if c != "trip_id"]
+            + ["select 'fact_trips', 'trip_id', cast(0 as bigint)"]
+            + [_nulls("raw_trips", "trips", c) for c in RAW_AUDITED]
+        ),
+        "type_fit_audit": " union all ".join(
+            _fits(t, WAREHOUSE_ROWS[t], c, kind)
+            for t, columns in audit.DECLARED.items() for c, kind in columns.items()
+            if c not in ("trip_id", "service_zone")
+        ),
         "dim_date": "select * from dim_date",
         "dim_payment": "select * from dim_payment",
         "dim_zone": "select * from dim_zone",
@@ -468,6 +607,21 @@ def oracle_sql() -> dict[str, str]:
         "fk_orphan_dates": """select pickup_date as "key", count(*) as "rows" from trips t
             where not exists (select 1 from dim_date d where d.date_key = t.pickup_date)
             group by pickup_date""",
+        "preview_dim_payment": """select * from dim_payment
+            order by payment_key nulls first limit 5""",
+        "preview_dim_zone": "select * from dim_zone order by zone_key limit 5",
+        "preview_fact": f"""select pickup_date_key, pickup_zone_key, dropoff_zone_key, payment_key,
+            {_money("fare_amount", "trip_distance", "total_amount", "tip_amount", "toll_amount")},
+            trip_duration, passenger_count, pickup_year, pickup_month from fact_trips
+            order by {", ".join(f"fact_trips.{c} nulls first" for c in PREVIEW_ORDER)} limit 5""",
+        "fact_after_month_reload": """select pickup_year, count(*) as trips, count(*) as ids
+            from fact_trips group by 1""",
+        "fk_null_keys": _all_orphans(
+            "(select *, case when l_linenumber % 3 <> 0 then payment_type end as code from trips)",
+            "pickup_date", '"PULocationID"', '"DOLocationID"', "code",
+        ),
+        "scd0_payment_null": NULL_SEEDED,
+        "scd0_payment_twice": NULL_SEEDED,
         "scd0_payment": """select payment_key, payment_type from payment_seed s
             where not exists (select 1 from dim_payment p where p.payment_key = s.payment_key)
             union all select payment_key, payment_type from dim_payment""",

@@ -1,4 +1,5 @@
-"""Command line: `etl` runs the job on files, `report` shows the warehouse report."""
+"""Command line: `etl` runs the job on files or order-line tables, `report` shows the
+warehouse report."""
 
 from __future__ import annotations
 
@@ -8,8 +9,8 @@ import sys
 
 from pyspark.errors import AnalysisException
 
-from meterstar.plans.etl import run_files
-from meterstar.plans.reports import warehouse_report
+from meterstar.plans.etl import run_files, run_tables
+from meterstar.plans.reports import preview, warehouse_report
 from meterstar.session import build_session
 from meterstar.sinks.connector import copy_star, snowflake_options
 from meterstar.sources.warehouse import read_star
@@ -18,20 +19,23 @@ from meterstar.sources.warehouse import read_star
 def _etl(args: argparse.Namespace) -> int:
     spark = build_session("meterstar-etl")
     try:
-        result = run_files(
-            spark,
-            args.raw,
-            args.zones,
-            args.warehouse,
-            args.quarantine,
-            composed=args.composed_reasons,
-            already_by_month=args.already_by_month,
-        )
+        options = dict(composed=args.composed_reasons, already_by_month=args.already_by_month)
+        if args.tables:
+            options["stage"] = args.stage or True
+            result = run_tables(spark, args.tables, args.warehouse, args.quarantine, **options)
+        else:
+            options["stage"] = args.stage or False
+            result = run_files(
+                spark, args.raw, args.zones, args.warehouse, args.quarantine, **options
+            )
         copied = copy_star(result.star, snowflake_options(os.environ))
+        for name, rows in result.star.tables().items():
+            print(name)
+            preview(rows, rows.columns[0]).show(truncate=False)
         result.quality.show()
         print("copied:", ", ".join(copied) or "nothing, no credentials")
-    except AnalysisException as error:
-        print(f"cannot run on {args.raw}: {error}", file=sys.stderr)
+    except (AnalysisException, ValueError) as error:
+        print(f"cannot run on {args.raw or args.tables}: {error}", file=sys.stderr)
         return 1
     finally:
         spark.stop()
@@ -58,8 +62,11 @@ def main(argv: list[str] | None = None) -> int:
     commands = parser.add_subparsers(required=True)
 
     etl = commands.add_parser("etl", help="raw trip files to warehouse and quarantine")
-    etl.add_argument("--raw", nargs="+", required=True, help="globs, one per file schema")
-    etl.add_argument("--zones", required=True, help="zone lookup CSV; may be missing")
+    source = etl.add_mutually_exclusive_group(required=True)
+    source.add_argument("--raw", nargs="+", help="globs, one per file schema")
+    source.add_argument("--tables", help="folder of order-line tables, instead of files")
+    etl.add_argument("--zones", default="zones.csv", help="zone lookup CSV; may be missing")
+    etl.add_argument("--stage", help="folder in which raw trips are kept for both outputs")
     etl.add_argument("--warehouse", required=True)
     etl.add_argument("--quarantine", required=True)
     etl.add_argument("--composed-reasons", action="store_true")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,41 @@ WAREHOUSE_TYPES = {
     "boolean": "BOOLEAN",
 }
 FALLBACK_TYPE = "VARCHAR(256)"
-# Limits of the declared text and money columns.
-TEXT_LIMIT = 256
+# Fixed value: the type of money columns that none is declared for.
 MONEY_TYPE = "DECIMAL(10,2)"
-MONEY_LIMIT = 10**8
+
+# The warehouse's declared column types.
+DECLARED = {
+    "dim_date": {
+        "date_key": "INTEGER", "date": "DATE", "day": "SMALLINT", "month": "SMALLINT",
+        "quarter": "SMALLINT", "year": "SMALLINT", "month_name": "VARCHAR(10)",
+        "day_of_week": "SMALLINT", "is_weekend": "BOOLEAN",
+    },
+    "dim_geography": {
+        "zone_key": "INTEGER", "zone_name": "VARCHAR(100)", "borough": "VARCHAR(50)",
+        "service_zone": "VARCHAR(50)",
+    },
+    "dim_payment": {
+        "payment_key": "INTEGER", "payment_type": "VARCHAR(30)", "is_electronic": "BOOLEAN",
+    },
+    "fact_trips": {
+        "trip_id": "BIGINT", "pickup_date_key": "INTEGER", "pickup_zone_key": "INTEGER",
+        "dropoff_zone_key": "INTEGER", "payment_key": "INTEGER", "fare_amount": "DECIMAL(10,2)",
+        "trip_distance": "DECIMAL(10,2)", "trip_duration": "DECIMAL(12,2)",
+        "passenger_count": "SMALLINT", "total_amount": "DECIMAL(10,2)",
+        "tip_amount": "DECIMAL(10,2)", "toll_amount": "DECIMAL(10,2)",
+        "congestion_surcharge": "DECIMAL(8,2)",
+    },
+}
+# The columns the warehouse declares NOT NULL.
+NOT_NULL = {
+    "dim_date": ["date_key", "date", "day", "month", "quarter", "year", "month_name",
+                 "day_of_week", "is_weekend"],
+    "dim_geography": ["zone_key", "zone_name", "borough"],
+    "dim_payment": ["payment_key", "payment_type", "is_electronic"],
+    "fact_trips": ["trip_id", "pickup_date_key", "pickup_zone_key", "dropoff_zone_key",
+                   "payment_key"],
+}
 
 
 def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -66,7 +97,8 @@ def orphan_keys(rows: DataFrame, column: str, dim: DataFrame, key: str) -> DataF
 def foreign_key_audit(
     fact: DataFrame, references: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:
-    """One row per foreign key: orphan key values and the fact rows that hold them.
+    """One row per foreign key: orphan key values, the fact rows that hold them, and the
+    rows whose key is null (no orphans: a null refers to nothing).
 
     `references` maps a fact column to its dimension and that dimension's key. All
     columns are counted in one scan of the fact, by grouping sets.
@@ -95,8 +127,13 @@ def foreign_key_audit(
             for c, (dim, key) in references.items()
         ],
     ).distinct()
-    orphan = F.col("known").isNull()
-    return (
+    null = F.col("used").isNull()
+    orphan = F.col("known").isNull() & ~null
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))
+
+    counted = (
         used.join(
             known,
             (F.col("foreign_key") == F.col("known_in")) & (F.col("used") == F.col("known")),
@@ -105,9 +142,13 @@ def foreign_key_audit(
         .groupBy("foreign_key")
         .agg(
             F.count_if(orphan).alias("orphan_keys"),
-            F.sum(F.when(orphan, F.col("rows")).otherwise(0)).alias("orphan_rows"),
+            rows_where(orphan).alias("orphan_rows"),
+            rows_where(null).alias("null_rows"),
         )
     )
+    # From the list of keys, so that an empty fact gives a row of zeros for each.
+    listed = fact.sparkSession.createDataFrame([(c,) for c in columns], "foreign_key string")
+    return listed.join(counted, "foreign_key", "left").fillna(0)
 
 
 def null_audit(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -117,29 +158,64 @@ def null_audit(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _fit(field: T.StructField) -> dict:
-    """Declared warehouse type of a column and the aggregate that tests it."""
-    column = F.col(field.name)
-    no_length, no_size = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+def _integer_range(bits: int) -> str:
+    return f"between {-(2 ** (bits - 1))} and {2 ** (bits - 1) - 1}"
+
+
+# Whole numbers a declared integer type holds.
+RANGES = {"SMALLINT": _integer_range(16), "INTEGER": _integer_range(32), "BIGINT": _integer_range(64)}
+
+
+def _declared_type(field: T.StructField) -> str:
+    """The warehouse type of a column that none is declared for."""
     if isinstance(field.dataType, T.DecimalType):
-        size = F.max(F.abs(column))
-        fits = F.coalesce(size < MONEY_LIMIT, F.lit(True))
-        return dict(type=MONEY_TYPE, length=no_length, size=size.cast("double"), fits=fits)
-    declared = WAREHOUSE_TYPES.get(field.dataType.typeName(), FALLBACK_TYPE)
-    if declared == FALLBACK_TYPE:
-        length = F.max(F.length(column.cast("string"))).cast("bigint")
-        fits = F.coalesce(length <= TEXT_LIMIT, F.lit(True))
-        return dict(type=declared, length=length, size=no_size, fits=fits)
-    return dict(type=declared, length=no_length, size=no_size, fits=F.lit(True))
+        return MONEY_TYPE
+    return WAREHOUSE_TYPES.get(field.dataType.typeName(), FALLBACK_TYPE)
+
 
+def _fit(field: T.StructField, declared: str | None = None) -> dict:
+    """Warehouse type of a column and the aggregates that measure and test it.
 
-def type_fit_audit(rows: DataFrame) -> DataFrame:
+    A declared DECIMAL(p,s) is tested for digits before the point and after it; one that
+    nobody declared is measured against MONEY_TYPE's size alone.
+    """
+    column = F.col(field.name)
+    no_length, no_size = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    kind = declared or _declared_type(field)
+    numeric = isinstance(field.dataType, T.NumericType)
+    size = F.max(F.abs(column)).cast("double") if numeric else no_size
+    base, _, sizes = kind.rstrip(")").partition("(")
+    if base == "DECIMAL":
+        digits, places = map(int, sizes.split(","))
+        exact = column.cast("decimal(30,10)")
+        bad = F.abs(exact) >= F.lit(10 ** (digits - places)).cast("decimal(20,0)")
+        if declared:
+            bad = bad | (exact != F.round(exact, places))
+        length, fits = no_length, F.count_if(bad) == 0
+    elif base == "VARCHAR":
+        length = F.max(F.length(column.cast("string"))).cast("bigint")
+        fits = F.coalesce(length <= int(sizes), F.lit(True))
+        size = no_size
+    elif base in RANGES and numeric:
+        whole = F.expr(f"`{field.name}` {RANGES[base]} and `{field.name}` = floor(`{field.name}`)")
+        length, fits = no_length, F.count_if(~whole) == 0
+    else:
+        expected = {"DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp"}
+        same = not declared or expected.get(base) == field.dataType.typeName()
+        length, fits = no_length, F.lit(same)
+        size = no_size if not declared else size
+    return dict(type=kind, length=length, size=size, fits=fits)
+
+
+def type_fit_audit(rows: DataFrame, declared: Mapping[str, str] | None = None) -> DataFrame:
     """One row per column: its warehouse type and whether every value fits it.
 
-    Text is measured against VARCHAR(256), money against DECIMAL(10,2); the other
-    types always fit. All columns are measured in one pass.
+    `declared` gives columns their types; the others are measured by a general rule, text
+    against VARCHAR(256), money against the size of DECIMAL(10,2), the rest always fits.
+    All columns are measured in one pass.
     """
-    fits = {field.name: _fit(field) for field in rows.schema.fields}
+    declared = declared or {}
+    fits = {field.name: _fit(field, declared.get(field.name)) for field in rows.schema.fields}
     measured = rows.agg(
         *[
             fit[part].alias(f"{part}_{i}")
@@ -160,6 +236,12 @@ def type_fit_audit(rows: DataFrame) -> DataFrame:
     return measured.select(F.inline(F.array(*report)))
 
 
+def by_table(audits: Mapping[str, DataFrame]) -> DataFrame:
+    """The audits of several tables as one, led by `table_name`."""
+    named = [a.select(F.lit(name).alias("table_name"), "*") for name, a in audits.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 def partition_layout(fact: DataFrame) -> DataFrame:
     """Rows and files per fact partition of a fact read from files."""
     per_file = fact.groupBy(*FACT_PARTITIONS, F.col("_metadata.file_path").alias("file")).agg(

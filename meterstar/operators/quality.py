@@ -1,15 +1,19 @@
 """Validity rules: split trips three ways, name the failed rules, count the outcomes.
 
 A rule over a null operand is neither true nor false, so a trip can be valid,
-rejected or undecided. The three sets are disjoint and together hold every trip.
+rejected or undecided. The rules see the values of the source. A trip that no rule
+rejects can still hold a value that the fact's type cannot: it is unfit. The four sets
+are disjoint and together hold every trip.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterstar.functions import expressions as X
+from meterstar.schemas import MONEY, RAW_TYPES
 
 # The constant reason text, and the rule names of the composed reason.
 CONSTANT_REASON = "Failed quality checks: duration<=0 OR fare<0 OR distance<0"
@@ -17,7 +21,8 @@ TIME_INVERSION = "time_inversion"
 NEGATIVE_FARE = "negative_fare"
 NEGATIVE_DISTANCE = "negative_distance"
 
-VALID, REJECTED, UNDECIDED = "valid", "rejected", "undecided"
+VALID, REJECTED, UNDECIDED, UNFIT = "valid", "rejected", "undecided", "unfit"
+UNFIT_REASON = "Value does not fit: "
 
 
 def is_valid() -> Column:
@@ -28,8 +33,48 @@ def is_valid() -> Column:
     )
 
 
+def _cannot_hold(field: T.StructField) -> Column | None:
+    """Whether the fact's type cannot hold a column's value; None if it always can."""
+    kind, target, value = field.dataType, RAW_TYPES[field.name], F.col(field.name)
+    lost = value.isNotNull() & value.try_cast(target).isNull()
+    if target == MONEY:
+        small = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)) or (
+            isinstance(kind, T.DecimalType) and kind.precision - kind.scale <= 12
+        )
+        return None if small else lost
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        return None
+    # A fraction in a whole number is lost as well.
+    return lost | (value != F.floor(value)) if not isinstance(kind, T.LongType) else lost
+
+
+def unfit_columns(trips: DataFrame) -> Column | None:
+    """Comma-joined names of the columns whose value the fact cannot hold, '' if there is
+    none; None if the types say that every value fits."""
+    checks = {
+        f.name: _cannot_hold(f) for f in trips.schema.fields if f.name in RAW_TYPES
+    }
+    names = [F.when(check, F.lit(name)) for name, check in checks.items() if check is not None]
+    if "unread" in trips.columns:
+        names.append(F.array_join(F.map_keys("unread"), ","))
+    if not names:
+        return None
+    return F.array_join(F.array_compact(F.array(*[F.nullif(n, F.lit("")) for n in names])), ",")
+
+
+def outcome(trips: DataFrame) -> Column:
+    """Which of the four sets a trip is in."""
+    names = unfit_columns(trips)
+    rejected = F.when(~is_valid(), REJECTED)
+    if names is not None:
+        rejected = rejected.when(names != "", UNFIT)
+    return rejected.when(is_valid().isNull(), UNDECIDED).otherwise(VALID)
+
+
 def valid_trips(trips: DataFrame) -> DataFrame:
-    return trips.filter(is_valid())
+    names = unfit_columns(trips)
+    valid = trips.filter(is_valid())
+    return valid if names is None else valid.filter(names == "")
 
 
 def failed_rules() -> Column:
@@ -50,7 +95,16 @@ def rejected_trips(trips: DataFrame, composed: bool = False) -> DataFrame:
 
 def undecided_trips(trips: DataFrame) -> DataFrame:
     """Trips that fail no rule but miss a value some rule needs."""
-    return trips.filter(is_valid().isNull())
+    names = unfit_columns(trips)
+    undecided = trips.filter(is_valid().isNull())
+    return undecided if names is None else undecided.filter(names == "")
+
+
+def unfit_trips(trips: DataFrame) -> DataFrame:
+    """Trips that fail no rule but hold a value that the fact cannot, with that reason."""
+    names = unfit_columns(trips)
+    reason = F.concat(F.lit(UNFIT_REASON), F.lit("") if names is None else names)
+    return trips.filter(outcome(trips) == UNFIT).withColumn("rejection_reason", reason)
 
 
 def valid_and_rejected(
@@ -60,26 +114,32 @@ def valid_and_rejected(
 
 
 def set_aside(trips: DataFrame, composed: bool = False) -> DataFrame:
-    """Rejected and undecided trips from one scan, told apart by `outcome`.
+    """Rejected, unfit and undecided trips from one scan, told apart by `outcome`.
 
-    The reason is null for undecided trips.
+    They keep the values of the source. The reason is null for undecided trips.
     """
     reason = failed_rules() if composed else F.lit(CONSTANT_REASON)
-    rejected = F.col("outcome") == REJECTED
+    names, state = unfit_columns(trips), F.col("outcome")
+    wanted = ~is_valid() | is_valid().isNull()
+    why = F.when(state == REJECTED, reason)
+    if names is not None:
+        wanted = wanted | (names != "")
+        why = why.when(state == UNFIT, F.concat(F.lit(UNFIT_REASON), names))
     return (
-        trips.filter(~is_valid() | is_valid().isNull())
-        .withColumn("outcome", F.when(is_valid().isNull(), UNDECIDED).otherwise(REJECTED))
-        .withColumn("rejection_reason", F.when(rejected, reason))
+        trips.filter(wanted)
+        .withColumn("outcome", outcome(trips))
+        .withColumn("rejection_reason", why)
     )
 
 
 def split_counts(trips: DataFrame) -> DataFrame:
-    """One row: total, valid, rejected, undecided, from one pass."""
+    """One row: total, valid, rejected, undecided, unfit, from one pass."""
     return trips.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(is_valid()).alias(VALID),
-        F.count_if(~is_valid()).alias(REJECTED),
-        F.count_if(is_valid().isNull()).alias(UNDECIDED),
+        *[
+            F.count_if(outcome(trips) == name).alias(name)
+            for name in (VALID, REJECTED, UNDECIDED, UNFIT)
+        ],
     )
 
 
@@ -91,6 +151,7 @@ def quality_report(counts: DataFrame) -> DataFrame:
         VALID,
         REJECTED,
         UNDECIDED,
+        UNFIT,
         F.coalesce(X.percent2(F.col(VALID), total), F.lit(0.0)).alias("pct_valid"),
         F.coalesce(X.percent2(F.col(REJECTED), total), F.lit(0.0)).alias("pct_rejected"),
     )

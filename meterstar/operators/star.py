@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterstar.functions import expressions as X
-from meterstar.schemas import FACT_COLUMNS
+from meterstar.schemas import FACT_COLUMNS, MONEY, RAW_TYPES
 
 # Seed rows of the payment dimension (code, text, is_electronic).
 PAYMENT_SEED = [
@@ -37,7 +37,7 @@ def _dates(days: DataFrame, column: str) -> DataFrame:
 
 def _payments(codes: DataFrame, column: str) -> DataFrame:
     return (
-        codes.select(F.col(column).alias("payment_key"))
+        codes.select(F.col(column).cast(RAW_TYPES["payment_type"]).alias("payment_key"))
         .distinct()
         .withColumn("payment_type", X.payment_text(F.col("payment_key")))
     )
@@ -94,12 +94,14 @@ def payment_seed(spark: SparkSession) -> DataFrame:
 
 
 def fact_measures(valid: DataFrame) -> DataFrame:
-    """The fact layout without its surrogate key.
+    """The fact layout without its surrogate key, every column in its declared type.
 
     Money columns missing from the input become null, so every fact has the
     same columns.
     """
-    renamed = valid.withColumns(
+    kinds = dict(valid.dtypes)
+    typed = {c: F.col(c).cast(t) for c, t in RAW_TYPES.items() if kinds.get(c, t) != t}
+    renamed = valid.withColumns(typed).withColumns(
         {
             "pickup_date_key": F.col("pickup_date"),
             "pickup_zone_key": F.col("PULocationID"),
@@ -108,16 +110,31 @@ def fact_measures(valid: DataFrame) -> DataFrame:
         }
     )
     missing = {
-        name: F.lit(None).cast("decimal(12,2)")
+        name: F.lit(None).cast(MONEY)
         for name in FACT_COLUMNS[1:]
         if name not in renamed.columns
     }
     return renamed.withColumns(missing).select(*FACT_COLUMNS[1:])
 
 
-def with_trip_id(fact: DataFrame) -> DataFrame:
-    """Add the surrogate key: unique, but neither dense nor the same in every run."""
-    return fact.withColumn("trip_id", F.monotonically_increasing_id()).select(*FACT_COLUMNS)
+# monotonically_increasing_id has the row in its lower 33 bits and the task above them.
+ROW_BITS = 33
+
+
+def next_block(ids: DataFrame) -> int:
+    """The first task number that no `trip_id` of `ids` has used."""
+    highest = ids.agg(F.max("trip_id")).first()[0]
+    return 0 if highest is None else (highest >> ROW_BITS) + 1
+
+
+def with_trip_id(fact: DataFrame, block: int = 0) -> DataFrame:
+    """Add the surrogate key: unique, but neither dense nor the same in every run.
+
+    A later load into the same fact starts at its `next_block`, so ids stay unique over
+    loads, until 2**30 tasks have written.
+    """
+    key = F.monotonically_increasing_id() + F.lit(block << ROW_BITS)
+    return fact.withColumn("trip_id", key).select(*FACT_COLUMNS)
 
 
 def build_fact_trips(valid: DataFrame) -> DataFrame:

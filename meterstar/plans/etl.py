@@ -11,6 +11,8 @@ from meterstar.operators import quality
 from meterstar.operators.derive import derive_trips
 from meterstar.operators.star import fact_measures
 from meterstar.sinks.warehouse import write_quarantine, write_star, write_table
+from meterstar.scratch import staged
+from meterstar.sources.tables import nation_zones, order_line_trips
 from meterstar.sources.trips import read_trips, read_zones
 from meterstar.sources.warehouse import Star
 
@@ -35,7 +37,7 @@ def written_counts(fact: DataFrame, set_aside: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         *[
             F.count_if(F.col("outcome") == name).alias(name)
-            for name in (quality.VALID, quality.REJECTED, quality.UNDECIDED)
+            for name in (quality.VALID, quality.REJECTED, quality.UNDECIDED, quality.UNFIT)
         ],
     )
 
@@ -65,15 +67,18 @@ def run(
     zones: DataFrame | None = None,
     composed: bool = False,
     already_by_month: bool = False,
-    stage: str | None = None,
+    stage: str | bool = False,
 ) -> EtlResult:
     """Run the job on raw trips.
 
     `raw` is evaluated twice, once per written output, each time with that output's
     filter pushed down. If it is costlier than a file scan, or not the same each time,
-    name a `stage` folder: it is written there once and both outputs read that copy.
+    name a `stage` folder, or say True for one in the session's shared folder: it is
+    written there once and both outputs read that copy.
     """
-    if stage is not None:
+    if stage is True:
+        raw = staged(raw, "raw-trips")
+    elif stage:
         write_table(raw, stage)
         raw = raw.sparkSession.read.schema(raw.schema).parquet(stage)
     star = load_star(raw, warehouse, zones, already_by_month)
@@ -91,5 +96,18 @@ def run_files(
     **options: bool | str,
 ) -> EtlResult:
     """Run the job on raw trip files and an optional zone lookup CSV."""
-    raw = read_trips(spark, *raw_paths)
-    return run(raw, warehouse, quarantine, read_zones(spark, zone_lookup), **options)
+    zones = read_zones(spark, zone_lookup)
+    return run(read_trips(spark, *raw_paths), warehouse, quarantine, zones, **options)
+
+
+def run_tables(
+    spark: SparkSession,
+    directory: str,
+    warehouse: str,
+    quarantine: str,
+    stage: str | bool = True,
+    **options: bool,
+) -> EtlResult:
+    """Run the job on order-line tables; their join is evaluated once."""
+    raw, zones = order_line_trips(spark, directory), nation_zones(spark, directory)
+    return run(raw, warehouse, quarantine, zones, stage=stage, **options)

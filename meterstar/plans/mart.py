@@ -6,14 +6,12 @@ dimensions of known size. This module gives them one for the order-line tables.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from meterstar.plans.etl import load_star
+from meterstar.scratch import new_folder
 from meterstar.sources.tables import nation_zones, order_line_trips
 from meterstar.sources.warehouse import Star, read_star
 
@@ -21,21 +19,11 @@ from meterstar.sources.warehouse import Star, read_star
 _written: dict[tuple[str, str], tuple[str, dict[str, StructType]]] = {}
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="meterstar-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-
-
 def star_of(spark: SparkSession, directory: str) -> Star:
     """The written star of the tables in `directory`.
 
-    The first call of an application writes it to a new folder; later calls read
-    that folder, or write again if it is gone.
+    The first call of an application writes it to a new folder, which goes when the
+    application ends; later calls read that folder, or write again if it is gone.
     """
     key = (spark.sparkContext.applicationId, directory.rstrip("/"))
     if key in _written:
@@ -44,7 +32,7 @@ def star_of(spark: SparkSession, directory: str) -> Star:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    root = f"{shared_folder(spark)}/meterstar-{uuid.uuid4().hex}"
+    root = new_folder(spark, "meterstar-star")
     star = load_star(
         order_line_trips(spark, directory), root, nation_zones(spark, directory)
     )

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.functions import expressions as X
+from meterstar.operators.audit import DECLARED
 from meterstar.operators.star import (
     build_dim_geography,
     calendar_attributes,
     payment_seed,
 )
 from meterstar.plans.reports import monthly_summary, zone_revenue
+from meterstar.schemas import FACT_PARTITIONS
 from meterstar.sources.warehouse import Star
 
 
@@ -50,3 +52,10 @@ def register_views(star: Star) -> list[str]:
     for name, rows in views.items():
         rows.createOrReplaceTempView(name)
     return sorted(views)
+
+
+def warehouse_tables(star: Star) -> dict[str, DataFrame]:
+    """The tables that the warehouse declares, with its columns and key types."""
+    views = warehouse_views(star)
+    tables = {name: views[name] for name in DECLARED if name in views}
+    return tables | {"fact_trips": tables["fact_trips"].drop(*FACT_PARTITIONS)}

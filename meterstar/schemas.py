@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+# Measures of the fact: twelve digits before the point, six after it, in one long.
+MONEY = "decimal(18,6)"
 
-MONEY = "decimal(12,2)"
-
-# Raw trip columns the library reads, with the type each is cast to. Timestamps
+# Raw trip columns the library reads, with the type each has in the fact. Readers keep
+# the types of the files; values are cast after the rules have seen them. Timestamps
 # keep the type of the file: zone-less ones stay TIMESTAMP_NTZ (wall clock).
 RAW_TYPES = {
     "payment_type": "int",
@@ -21,17 +21,13 @@ RAW_TYPES = {
     "congestion_surcharge": MONEY,
 }
 
-# Only the warehouse queries use these; raw files may lack them.
-OPTIONAL_RAW = ("total_amount", "tip_amount", "toll_amount", "congestion_surcharge")
-
-ZONE_LOOKUP = T.StructType(
-    [
-        T.StructField("LocationID", T.IntegerType()),
-        T.StructField("Borough", T.StringType()),
-        T.StructField("Zone", T.StringType()),
-        T.StructField("service_zone", T.StringType()),
-    ]
-)
+# Columns of the zone lookup that are read, by header name; only the first must exist.
+ZONE_COLUMNS = {
+    "LocationID": "int",
+    "Borough": "string",
+    "Zone": "string",
+    "service_zone": "string",
+}
 
 FACT_PARTITIONS = ("pickup_year", "pickup_month")
 

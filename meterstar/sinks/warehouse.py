@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from meterstar.operators.quality import REJECTED
 from meterstar.operators.star import (
     dim_date_of_fact,
     dim_payment_of_fact,
+    next_block,
     with_trip_id,
 )
 from meterstar.schemas import FACT_PARTITIONS
@@ -22,15 +24,43 @@ def write_table(rows: DataFrame, path: str) -> None:
 def replace_table(rows: DataFrame, root: str, name: str) -> DataFrame:
     """Replace a warehouse table by rows that may be computed from it.
 
-    The rows are first written to a folder beside the table and copied over from
-    there. A run that dies in between leaves the complete new copy beside it.
+    The rows are written to a folder beside the table, which then takes the table's
+    name; the old folder goes last. The table is missing only between two renames, and a
+    run that dies there leaves both complete copies, `<name>_old` and `<name>_next`.
     """
     spark = rows.sparkSession
-    write_table(rows, table_path(root, f"{name}_next"))
-    write_table(read_table(spark, root, f"{name}_next"), table_path(root, name))
+    table, fresh, old = (table_path(root, n) for n in (name, f"{name}_next", f"{name}_old"))
+    remove_folder(spark, old)
+    write_table(rows, fresh)
+    files, path = _files(spark, table)
+    if files.exists(path(table)):
+        files.rename(path(table), path(old))
+    files.rename(path(fresh), path(table))
+    remove_folder(spark, old)
     return read_table(spark, root, name)
 
 
+def _files(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder if it is there."""
+    files, path = _files(spark, folder)
+    files.delete(path(folder), True)
+
+
+def _first_block(spark: SparkSession, path: str) -> int:
+    """Where the ids of another load into the fact at `path` start."""
+    try:
+        return next_block(spark.read.parquet(path).select("trip_id"))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0
+
+
 def write_fact(
     measures: DataFrame,
     path: str,
@@ -45,12 +75,14 @@ def write_fact(
     files already follow the months. Ids are given after the shuffle, by the tasks
     that write: a repeated upstream task then cannot give out an id twice.
 
-    `months_only` replaces only the months present in `measures`.
+    `months_only` replaces only the months present in `measures`; ids then start above
+    all that the fact at `path` has, which one pass over its ids finds.
     """
+    block = _first_block(measures.sparkSession, path) if months_only else 0
     rows = measures if already_by_month else measures.hint("rebalance", *FACT_PARTITIONS)
     rows = rows.sortWithinPartitions(*FACT_PARTITIONS, "pickup_date_key")
     (
-        with_trip_id(rows)
+        with_trip_id(rows, block)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if months_only else "static")
         .partitionBy(*FACT_PARTITIONS)
@@ -83,7 +115,8 @@ def write_star(
 
     The fact is written first; the date and payment dimensions come from the
     written copy, so the raw data are read once for the whole star and every later
-    reader sees the same trip ids.
+    reader sees the same trip ids. Without `zones`, a zone table of an earlier run is
+    removed: the warehouse holds what this run wrote, nothing older.
     """
     spark = measures.sparkSession
     fact_path = table_path(root, "fact_trips")
@@ -94,4 +127,6 @@ def write_star(
     write_table(dim_payment_of_fact(fact), table_path(root, "dim_payment"))
     if zones is not None:
         write_table(zones, table_path(root, "dim_zone"))
+    else:
+        remove_folder(spark, table_path(root, "dim_zone"))
     return read_star(spark, root, {"fact_trips": fact.schema})

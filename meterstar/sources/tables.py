@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterstar.schemas import MONEY
+
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
@@ -46,11 +48,11 @@ def order_line_trips(spark: SparkSession, directory: str) -> DataFrame:
         F.col("c_nationkey").alias("PULocationID"),
         F.col("s_nationkey").alias("DOLocationID"),
         F.col("l_linenumber").alias("passenger_count"),
-        fare.cast("decimal(12,2)").alias("fare_amount"),
-        F.nullif("l_quantity", F.lit(1.0)).cast("decimal(12,2)").alias("trip_distance"),
-        (price * discount).alias("tip_amount"),
-        (price * tax).alias("toll_amount"),
-        (price * (1 - discount + tax)).alias("total_amount"),
+        fare.cast(MONEY).alias("fare_amount"),
+        F.nullif("l_quantity", F.lit(1.0)).cast(MONEY).alias("trip_distance"),
+        (price * discount).cast(MONEY).alias("tip_amount"),
+        (price * tax).cast(MONEY).alias("toll_amount"),
+        (price * (1 - discount + tax)).cast(MONEY).alias("total_amount"),
     )
 
 

@@ -7,44 +7,62 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterstar.operators.star import build_dim_zone
-from meterstar.schemas import OPTIONAL_RAW, RAW_TYPES, ZONE_LOOKUP
+from meterstar.schemas import RAW_TYPES, ZONE_COLUMNS
 
 
-def _conform(trips: DataFrame) -> DataFrame:
-    present = [c for c in RAW_TYPES if c in trips.columns]
-    absent = [c for c in OPTIONAL_RAW if c not in trips.columns]
-    # try_cast: an unreadable value becomes null (an undecided trip) instead of
-    # ending the job.
-    return trips.withColumns(
-        {c: F.col(c).try_cast(RAW_TYPES[c]) for c in present}
-        | {c: F.lit(None).cast(RAW_TYPES[c]) for c in absent}
-    )
+def _readable(trips: DataFrame) -> DataFrame:
+    """Numbers that the files hold as text, parsed.
+
+    A text that is no number stays, by column, in the map `unread`; its trip is unfit.
+    """
+    texts = [
+        f.name for f in trips.schema.fields
+        if f.name in RAW_TYPES and isinstance(f.dataType, T.StringType)
+    ]
+    if not texts:
+        return trips
+    number = {c: F.col(c).try_cast("double") for c in texts}
+    kept = [x for c in texts for x in (F.lit(c), F.when(number[c].isNull(), F.col(c)))]
+    unread = F.map_filter(F.create_map(*kept), lambda _, text: text.isNotNull())
+    return trips.withColumn("unread", unread).withColumns(number)
 
 
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
-    """Scan raw trips; every column of the files is kept.
+    """Scan raw trips; every column of the files is kept, with the files' values.
 
-    A path may be a glob. Files of one path must agree on column types; give files
-    that disagree (an int column in one year, double in the next) as paths of their
-    own, and each is cast to the common types before they are united.
+    A path may be a glob. Columns that only some of its files have are null in the others.
+    Files of one path must agree on column types; give files that disagree (an int column
+    in one year, double in the next) as paths of their own, and the union takes the wider
+    type.
     """
-    groups = [_conform(spark.read.parquet(path)) for path in paths]
+    groups = [
+        _readable(spark.read.option("mergeSchema", "true").parquet(path)) for path in paths
+    ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame | None:
-    """The zone dimension from a lookup CSV, or None if there is no such file."""
+    """The zone dimension from a lookup CSV, or None if there is no such file.
+
+    Columns go by their header names, in any order; absent ones but the key are null, and
+    others are left out. A lookup without the key fails here, before anything is written.
+    """
     try:
-        lookup = (
-            spark.read.schema(ZONE_LOOKUP)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .csv(path)
-        )
+        lookup = spark.read.option("header", True).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return build_dim_zone(lookup)
+    if "LocationID" not in lookup.columns:
+        raise ValueError(f"{path} has no column LocationID, only {lookup.columns}")
+    return build_dim_zone(
+        lookup.select(
+            *[
+                (F.col(c).try_cast(kind) if c in lookup.columns else F.lit(None).cast(kind)).alias(c)
+                for c, kind in ZONE_COLUMNS.items()
+            ]
+        )
+    )

@@ -12,12 +12,15 @@ DATA = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[*]")
         .appName("meterstar-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(shared / "checkpoints"))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -14,6 +14,7 @@ from meterstar.operators import audit, dimensions, star
 from meterstar.operators.median import bucket_of, exact_median
 from meterstar.operators.rollup import merge, top, totals
 from meterstar.plans import reports
+from meterstar.plans.views import warehouse_tables
 
 
 def test_round2_goes_by_decimal_text(spark):
@@ -133,7 +134,44 @@ def test_key_audits(spark):
     counts = audit.primary_key_audit({"f": (fact, ["id"]), "z": (zones, ["zone_key"]), "p": (pays, ["pay_key"])})
     assert {tuple(r) for r in counts.collect()} == {("f", 1), ("z", 1), ("p", 0)}
     audited = audit.foreign_key_audit(fact, {"zone": (zones, "zone_key"), "pay": (pays, "pay_key")})
-    assert {tuple(r) for r in audited.collect()} == {("zone", 1, 1), ("pay", 1, 1)}
+    assert {tuple(r) for r in audited.collect()} == {("zone", 1, 1, 0), ("pay", 0, 0, 1)}
+
+
+def test_foreign_keys_of_an_empty_fact(spark):
+    fact = spark.createDataFrame([], "zone int, pay int")
+    dim = spark.createDataFrame([(7,)], "k int")
+    audited = audit.foreign_key_audit(fact, {"zone": (dim, "k"), "pay": (dim, "k")})
+    assert {tuple(r) for r in audited.collect()} == {("zone", 0, 0, 0), ("pay", 0, 0, 0)}
+
+
+def test_declared_types(spark):
+    good = [(Decimal("999999.99"), "x" * 50, 32767, Decimal("1.20"))]
+    declared = {"surcharge": "DECIMAL(8,2)", "borough": "VARCHAR(50)", "riders": "SMALLINT", "fare": "DECIMAL(10,2)"}
+    schema = "surcharge decimal(18,6), borough string, riders int, fare decimal(18,6)"
+    bad = [(Decimal("2000000"), "x" * 60, 70000, Decimal("1.2345"))]
+    for rows, fits in ((good, True), (bad, False), (good + bad, False), ([(None,) * 4], True)):
+        audited = audit.type_fit_audit(spark.createDataFrame(rows, schema), declared).collect()
+        assert {r.column_name: r.fits for r in audited} == dict.fromkeys(declared, fits)
+        assert {r.column_name: r.warehouse_type for r in audited} == declared
+
+
+def test_not_null_audit_covers_the_declared_columns(mart):
+    tables = warehouse_tables(mart)
+    assert set(tables) == set(audit.NOT_NULL) == set(audit.DECLARED)
+    for name, columns in audit.NOT_NULL.items():
+        found = audit.null_audit(tables[name], columns).collect()
+        assert {r.column_name: r.nulls for r in found} == dict.fromkeys(columns, 0)
+
+
+def test_merges_with_null_and_repeated_keys_are_repeatable(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "old")], "k int, v string")
+    new = spark.createDataFrame([(None, "z"), (None, "y"), (2, "c"), (2, "b"), (1, "A")], "k int, v string")
+    for merge_, want in ((dimensions.keep_first, {(1, "a"), (None, "old"), (2, "b")}),
+                         (dimensions.overwrite_changed, {(1, "A"), (None, "y"), (2, "b")})):
+        once = merge_(old, new, "k")
+        twice = merge_(once, new, "k")
+        for rows in (once.collect(), twice.collect()):
+            assert len(rows) == 3 and {tuple(r) for r in rows} == want
 
 
 def test_null_and_type_audits(spark):

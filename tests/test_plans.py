@@ -12,7 +12,8 @@ from meterstar.operators.derive import derive_trips
 from meterstar.plans import reports
 from meterstar.sources.tables import order_line_trips
 
-QUERIES = queries()
+# The pipeline package's queries have their own tests.
+QUERIES = {k: v for k, v in queries().items() if not re.match(r"op\d+_|pipeline$", k)}
 
 
 def scans(plan):

@@ -59,14 +59,14 @@ def test_set_aside_holds_both_outcomes(edge):
 
 def test_counts_and_report(edge):
     counts = quality.split_counts(edge)
-    assert counts.first().asDict() == {"total": 8, "valid": 2, "rejected": 4, "undecided": 2}
+    assert counts.first().asDict() == {"total": 8, "valid": 2, "rejected": 4, "undecided": 2, "unfit": 0}
     report = quality.quality_report(counts).first()
     assert (report.pct_valid, report.pct_rejected) == (25.0, 50.0)
 
 
 def test_report_of_no_trips(edge):
     report = quality.quality_report(quality.split_counts(edge.limit(0))).first()
-    assert report.asDict() == {"total": 0, "valid": 0, "rejected": 0, "undecided": 0,
+    assert report.asDict() == {"total": 0, "valid": 0, "rejected": 0, "undecided": 0, "unfit": 0,
                                "pct_valid": 0.0, "pct_rejected": 0.0}
 
 
@@ -131,4 +131,4 @@ def test_split_over_every_mix_of_nulls_and_signs(spark):
     assert {(r["case"], r.outcome) for r in aside} == {
         (case, name) for name in ("rejected", "undecided") for case in want[name]}
     counts = quality.split_counts(trips).first().asDict()
-    assert counts == {"total": 64} | {name: len(cases) for name, cases in want.items()}
+    assert counts == {"total": 64, "unfit": 0} | {name: len(cases) for name, cases in want.items()}

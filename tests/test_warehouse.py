@@ -1,8 +1,12 @@
 """The whole job on files: layout, round trips, repeated runs, optional parts."""
 
 import os
+import re
 import shutil
-from decimal import Decimal
+import subprocess
+import sys
+import time
+from datetime import datetime
 from glob import glob
 
 import pytest
@@ -10,19 +14,22 @@ from conftest import DATA
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from meterstar import scratch
 from meterstar.__main__ import main
 from meterstar.operators import audit, quality
 from meterstar.operators.derive import derive_trips
 from meterstar.operators.dimensions import overwrite_changed
 from meterstar.operators.star import build_fact_trips, fact_measures
 from meterstar.plans import etl, mart as mart_module, reports
-from meterstar.schemas import FACT_COLUMNS
+from meterstar.schemas import FACT_COLUMNS, MONEY
 from meterstar.sinks.connector import copy_star, snowflake_options
 from meterstar.sinks.warehouse import rejected_path, replace_table, write_fact
 from meterstar.sources.tables import nation_zones, order_line_trips
 from meterstar.sources.trips import read_trips, read_zones
 from meterstar.sources.warehouse import read_star, read_table
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture(scope="module")
 def files(spark, tmp_path_factory):
@@ -133,7 +140,7 @@ def test_job_without_trips(spark, files, tmp_path):
     none = read_trips(spark, f"{files}/trips").limit(0)
     result = etl.run(none, f"{tmp_path}/warehouse", f"{tmp_path}/rejected")
     assert result.quality.first().asDict() == {
-        "total": 0, "valid": 0, "rejected": 0, "undecided": 0, "pct_valid": 0.0, "pct_rejected": 0.0}
+        "total": 0, "valid": 0, "rejected": 0, "undecided": 0, "unfit": 0, "pct_valid": 0.0, "pct_rejected": 0.0}
     assert reports.global_averages(result.star.fact).first().avg_fare is None
 
 
@@ -177,9 +184,9 @@ def test_files_of_differing_types_are_read_as_groups(spark, tmp_path):
     spark.createDataFrame([(3.0, 2.5), (None, float("nan"))], "passenger_count double, fare_amount double"
                           ).withColumn("extra", F.lit("x")).write.parquet(f"{tmp_path}/b")
     trips = read_trips(spark, f"{tmp_path}/a", f"{tmp_path}/b")
-    assert dict(trips.dtypes)["fare_amount"] == "decimal(12,2)"
-    rows = {(r.passenger_count, r.fare_amount, r.extra) for r in trips.collect()}
-    assert rows == {(1, Decimal("2.00"), None), (3, Decimal("2.50"), "x"), (None, None, "x")}
+    assert dict(trips.dtypes)["fare_amount"] == "double"
+    rows = {(r.passenger_count, str(r.fare_amount), r.extra) for r in trips.collect()}
+    assert rows == {(1, "2.0", None), (3, "2.5", "x"), (None, "nan", "x")}
 
 
 def test_replacing_a_dimension_by_rows_read_from_it(spark, files, tmp_path):
@@ -212,26 +219,193 @@ def test_connector_options():
 
 
 def test_mart_is_written_once_and_again_if_it_is_gone(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(mart_module, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: str(tmp_path))
     monkeypatch.setattr(mart_module, "_written", {})
     first = mart_module.star_of(spark, "/root/testdata/sf0.001")
     again = mart_module.star_of(spark, "/root/testdata/sf0.001")
     assert first.fact.inputFiles() == again.fact.inputFiles()
-    assert len(glob(f"{tmp_path}/meterstar-*")) == 1
-    shutil.rmtree(glob(f"{tmp_path}/meterstar-*")[0])
+    assert len(glob(f"{tmp_path}/meterstar-star-*")) == 1
+    shutil.rmtree(glob(f"{tmp_path}/meterstar-star-*")[0])
     assert mart_module.star_of(spark, "/root/testdata/sf0.001").fact.count() == 2086
 
 
 def test_shared_folder_is_the_one_the_session_names():
     class Session:
-        def __init__(self, configured, master):
-            self.conf = {"spark.checkpoint.dir": configured} if configured else {}
-            self.sparkContext = type("Context", (), {"master": master})
+        def __init__(self, configured):
+            self.conf = {"spark.sql.warehouse.dir": "file:/w"}
+            self.conf |= {"spark.checkpoint.dir": configured} if configured else {}
+
+    assert scratch.shared_folder(Session("/shared/dir/")) == "/shared/dir"
+    assert scratch.shared_folder(Session(None)) == "file:/w/_scratch"
+
+
+def test_an_application_leaves_nothing_in_the_shared_folder(tmp_path):
+    def ours():
+        # Spark makes a folder of its own in there.
+        return [n for n in os.listdir(tmp_path) if n.startswith("meterstar-")]
+
+    program = f"""
+import sys; sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.checkpoint.dir", {str(tmp_path)!r})
+         .config("spark.ui.enabled", "false").getOrCreate())
+from meterstar.plans.mart import star_of
+print(star_of(spark, "/root/testdata/sf0.001").fact.count())
+import glob; print(len(glob.glob({str(tmp_path)!r} + "/meterstar-*")))
+spark.stop()"""
+    done = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, timeout=300)
+    assert done.stdout.split() == ["2086", "1"], done.stderr[-2000:]
+    for _ in range(20):  # the JVM may end after Python
+        if not ours():
+            break
+        time.sleep(0.5)
+    assert ours() == []
+
+
+# -- values of the source ---------------------------------------------------------
+
+SOURCE = ("case string, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+          "payment_type double, PULocationID bigint, DOLocationID bigint, passenger_count double, "
+          "fare_amount double, trip_distance double, total_amount double")
+START, END = datetime(2024, 5, 1, 10), datetime(2024, 5, 1, 11)
+PROBES = {
+    # case: (fare, distance, total, pickup zone), outcome, reason
+    "plain": ((1.5, 2.0, 3.0, 7), "valid", None),
+    "fare just below zero": ((-0.004, 2.0, 3.0, 7), "rejected", quality.CONSTANT_REASON),
+    "distance just below zero": ((1.5, -0.001, 3.0, 7), "rejected", quality.CONSTANT_REASON),
+    "three decimals": ((1.5, 1.234, 3.0, 7), "valid", None),
+    "large fare": ((2e10, 2.0, 3.0, 7), "valid", None),
+    "fare too large": ((2e12, 2.0, 3.0, 7), "unfit", "Value does not fit: fare_amount"),
+    "total too large": ((1.5, 2.0, -2e12, 7), "unfit", "Value does not fit: total_amount"),
+    "fare not a number": ((float("nan"), 2.0, 3.0, 7), "unfit", "Value does not fit: fare_amount"),
+    "zone too large": ((1.5, 2.0, 3.0, 5 * 10**9), "unfit", "Value does not fit: PULocationID"),
+    "two of them": ((2e12, 2.0, 3.0, 5 * 10**9), "unfit", "Value does not fit: PULocationID,fare_amount"),
+    "no fare": ((None, 2.0, 3.0, 7), "undecided", None),
+}
+
+
+@pytest.fixture(scope="module")
+def probed(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("probes")
+    rows = [(case, START, END, 1.0, zone, 8, 1.0, fare, distance, total)
+            for case, ((fare, distance, total, zone), _, _) in PROBES.items()]
+    spark.createDataFrame(rows, SOURCE).write.parquet(f"{root}/raw")
+    return etl.run_files(spark, [f"{root}/raw"], f"{root}/none.csv", f"{root}/w", f"{root}/q")
+
+
+def test_rules_see_source_values_and_unfit_ones_are_set_aside(probed):
+    aside = {r["case"]: r for r in probed.set_aside.collect()}
+    assert {c: (r.outcome, r.rejection_reason) for c, r in aside.items()} == {
+        c: (outcome, reason) for c, (_, outcome, reason) in PROBES.items() if outcome != "valid"}
+    for case, row in aside.items():
+        want = PROBES[case][0]
+        got = (row.fare_amount, row.trip_distance, row.total_amount, row.PULocationID)
+        assert repr(got) == repr(want)
+    counts = probed.quality.first()
+    assert (counts.total, counts.valid, counts.rejected, counts.undecided, counts.unfit) == (11, 3, 2, 1, 5)
+    fact = probed.star.fact
+    assert {float(r.trip_distance) for r in fact.collect()} == {2.0, 1.234}
+    assert dict(fact.dtypes)["fare_amount"] == MONEY and dict(fact.dtypes)["payment_key"] == "int"
+
+
+def test_both_sources_give_one_shape_of_fact(spark, probed):
+    from_tables = fact_measures(derive_trips(order_line_trips(spark, "/root/testdata/sf0.001")))
+    assert set(from_tables.dtypes) == set(probed.star.fact.drop("trip_id").dtypes)
+
+
+def test_a_column_that_comes_later_is_kept(spark, tmp_path):
+    for month, more in (("01", {}), ("02", {"tip_amount": F.lit(7.5)})):
+        spark.range(2).withColumns({"fare_amount": F.lit(1.0)} | more).write.parquet(f"{tmp_path}/{month}")
+    for paths in ([f"{tmp_path}/*"], [f"{tmp_path}/01", f"{tmp_path}/02"]):
+        tips = [r.tip_amount for r in read_trips(spark, *paths).collect()]
+        assert sorted(tips, key=str) == [7.5, 7.5, None, None]
+
+
+def test_one_glob_of_unequal_types_fails(spark, tmp_path):
+    spark.range(1).select(F.lit("x").alias("fare_amount")).write.parquet(f"{tmp_path}/01")
+    spark.range(1).select(F.lit(1.0).alias("fare_amount")).write.parquet(f"{tmp_path}/02")
+    with pytest.raises(Exception, match="CANNOT_MERGE_SCHEMA"):
+        read_trips(spark, f"{tmp_path}/*").collect()
+
+
+def test_numbers_held_as_text(spark, tmp_path):
+    rows = [("good", START, END, "1", 1, 2, 1, "2.5", 1.0), ("bad", START, END, "1", 1, 2, 1, "n/a", 1.0),
+            ("none", START, END, "1", 1, 2, 1, None, 1.0)]
+    spark.createDataFrame(rows, "case string, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime "
+                          "timestamp_ntz, payment_type string, PULocationID int, DOLocationID int, "
+                          "passenger_count int, fare_amount string, trip_distance double"
+                          ).write.parquet(f"{tmp_path}/raw")
+    result = etl.run_files(spark, [f"{tmp_path}/raw"], f"{tmp_path}/none.csv", f"{tmp_path}/w", f"{tmp_path}/q")
+    aside = {r["case"]: (r.outcome, r.rejection_reason, r.unread) for r in result.set_aside.collect()}
+    assert aside == {"bad": ("unfit", "Value does not fit: fare_amount", {"fare_amount": "n/a"}),
+                     "none": ("undecided", None, {})}
+    assert [float(r.fare_amount) for r in result.star.fact.collect()] == [2.5]
+
+
+# -- loads of months, swaps, lookups -----------------------------------------------
+
+
+def test_ids_stay_unique_over_loads(spark, files, tmp_path):
+    measures = fact_measures(quality.valid_trips(derive_trips(read_trips(spark, f"{files}/trips"))))
+    march, later = "pickup_year = 1998 and pickup_month = 3", "pickup_year = 1997"
+    path = f"{tmp_path}/fact"
+    write_fact(measures.filter(march), path, months_only=True)  # into no fact at all
+    write_fact(measures.filter(f"not {later}"), path)
+    write_fact(measures.filter(march), path, months_only=True)
+    write_fact(measures.filter(later), path, months_only=True)
+    fact = spark.read.parquet(path)
+    assert fact.count() == fact.select("trip_id").distinct().count() == 2086
+
+
+def test_replacing_a_table_leaves_no_copy_beside_it(spark, tmp_path):
+    root = str(tmp_path)
+    for n in (3, 5):
+        assert replace_table(spark.range(n), root, "t").count() == n
+    assert os.listdir(root) == ["t"]
+
+
+def test_lookup_goes_by_header(spark, tmp_path):
+    with open(tmp_path / "z.csv", "w") as out:
+        out.write("Zone,more,LocationID,Borough\nA,x,1,Q\nB,y,2,R\n")
+    zones = read_zones(spark, f"{tmp_path}/z.csv")
+    assert zones.dtypes == [("zone_key", "int"), ("Borough", "string"), ("Zone", "string"),
+                            ("service_zone", "string")]
+    assert {tuple(r) for r in zones.collect()} == {(1, "Q", "A", None), (2, "R", "B", None)}
+
+
+def test_a_lookup_without_its_key_fails_before_any_write(spark, files, tmp_path):
+    with open(tmp_path / "z.csv", "w") as out:
+        out.write("Zone,Borough\nA,Q\n")
+    with pytest.raises(ValueError, match="LocationID"):
+        etl.run_files(spark, [f"{files}/trips"], f"{tmp_path}/z.csv", f"{tmp_path}/w", f"{tmp_path}/q")
+    assert os.listdir(tmp_path) == ["z.csv"]
+
+
+def test_zones_of_an_earlier_run_do_not_come_back(spark, files, tmp_path):
+    out = [f"{tmp_path}/w", f"{tmp_path}/q"]
+    first = etl.run_files(spark, [f"{files}/trips"], f"{files}/zones.csv", *out)
+    assert first.star.dim_zone is not None
+    second = etl.run_files(spark, [f"{files}/trips"], f"{files}/absent.csv", *out)
+    assert second.star.dim_zone is None and read_star(spark, out[0]).dim_zone is None
+
+
+def test_joined_input_is_shuffled_once_when_staged(spark, settings, explained, tmp_path):
+    """With nothing broadcast, each output of the plain run joins lines anew."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    raw = order_line_trips(spark, "/root/testdata/sf0.001")
+
+    def line_exchanges(df):
+        plan = explained(df)
+        return sum("l_suppkey" in block or "l_orderkey" in block
+                   for block in re.findall(r"\(\d+\) Exchange\n.*?\n\n", plan, flags=re.S))
 
-    assert mart_module.shared_folder(Session("/shared/dir/", "yarn")) == "/shared/dir"
-    assert os.path.isdir(mart_module.shared_folder(Session(None, "local[8]")))
-    with pytest.raises(ValueError):
-        mart_module.shared_folder(Session(None, "yarn"))
+    derived = derive_trips(raw)
+    plain = [quality.valid_trips(derived), quality.set_aside(derived)]
+    assert sum(map(line_exchanges, plain)) == 2 * line_exchanges(raw) > 0
+    kept = derive_trips(scratch.staged(raw, "raw"))
+    assert [line_exchanges(f(kept)) for f in (quality.valid_trips, quality.set_aside)] == [0, 0]
+    result = etl.run_tables(spark, "/root/testdata/sf0.001", f"{tmp_path}/w", f"{tmp_path}/q")
+    assert result.quality.first().valid == 2086
 
 
 def test_command_line_fails_on_unreadable_input(monkeypatch, spark, tmp_path, capsys):
@@ -245,5 +419,7 @@ def test_command_line_runs_both_commands(monkeypatch, spark, files, tmp_path, ca
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     out = ["--warehouse", f"{tmp_path}/w", "--quarantine", f"{tmp_path}/q"]
     assert main(["etl", "--raw", f"{files}/trips", "--zones", f"{files}/zones.csv", *out]) == 0
+    assert main(["etl", "--tables", "/root/testdata/sf0.001", "--stage", f"{tmp_path}/s", *out]) == 0
+    assert os.path.isdir(f"{tmp_path}/s")
     assert main(["report", "--warehouse", f"{tmp_path}/w"]) == 0
     assert "top_pickup_zones" in capsys.readouterr().out
