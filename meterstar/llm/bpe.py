@@ -83,11 +83,11 @@ class WordBpe:
         self.last = np.array([vocab[c + self.suffix] for c in letters], np.int64)
         self.width = max(vocab.values()) + 1
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        made: dict[str, int] = {}
-        for rank, (a, b) in enumerate(merges):
-            if max(made.get(a, -1), made.get(b, -1)) >= rank or a + b in made:
-                raise ValueError("a merge uses what a higher rank makes: merge places one by one")
-            made[a + b] = rank
+        made = {a + b: rank for rank, (a, b) in enumerate(merges)}
+        if len(made) < len(merges) or any(
+            max(made.get(a, -1), made.get(b, -1)) >= rank for rank, (a, b) in enumerate(merges)
+        ):
+            raise ValueError("a merge uses what a higher rank makes: merge places one by one")
         keys = np.array([vocab[a] * self.width + vocab[b] for a, b in merges], np.int64)
         order = np.argsort(keys)
         self.keys = keys[order]
