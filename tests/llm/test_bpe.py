@@ -6,8 +6,8 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_rows import EDGES
 from tokenizers import Tokenizer
+from llm_rows import EDGES, documents  # noqa: F401
 
 from meterstar.llm import bpe
 from meterstar.llm.common import read_table

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from llm_rows import EDGES
+from llm_rows import EDGES, documents  # noqa: F401
 
 from meterstar.llm import licenses as L
 

@@ -10,8 +10,8 @@ import zlib
 
 import pytest
 import zstandard
-from llm_rows import EDGES
 from pyspark.sql import functions as F
+from llm_rows import EDGES, documents  # noqa: F401
 
 from meterstar.llm import secrets
 
