@@ -18,6 +18,10 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
+# The folders made by this process and not yet removed, oldest first.
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; what is written there goes when the application ends."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -26,9 +30,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
     files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(hadoop)
     files.deleteOnExit(hadoop)
+    _made.append(path)
     return path
 
 
+def folders() -> list[str]:
+    """The folders that are there now; what a piece of work added is the difference."""
+    return list(_made)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders whose tables nothing will read any more."""
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        if path in _made:
+            _made.remove(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df`, evaluated once: written to the shared folder and read back.
 
