@@ -2,41 +2,68 @@
 
 Each stage is a function of (spark, docs, sf_dir) and works on all rows that the stage
 before kept. `run` writes each result to the shared folder and reads it back, so a stage is
-evaluated once and a lost executor costs only its own tasks.
+evaluated once and a lost executor costs only its own tasks. Tables that a stage left in the
+shared folder go when the next stage starts, unless that one's input still reads them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from meterstar.llm import jaccard, packing, quality_rules, secrets, toxicity
 from meterstar.llm.common import read_table
-from meterstar.scratch import staged
+from meterstar.scratch import folders, remove, staged
 
 TOXIC_FROM = 0.5
 
+_left: list[str] = []  # the folders of the latest stage
+
+
+def _stage(function: Callable) -> Callable:
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if _left:
+            read = docs.inputFiles()
+            # Without scheme and leading slashes, which differ between the two.
+            gone = [p for p in _left if not any(p.split(":")[-1].lstrip("/") in f for f in read)]
+            remove(spark, gone)
+            _left[:] = [p for p in _left if p not in gone]
+        before = set(folders())
+        result = function(spark, docs, sf_dir)
+        _left.extend(p for p in folders() if p not in before)
+        return result
+
+    return run_stage
+
 
+@_stage
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without lines above the frequency limits."""
     return quality_rules.filter_documents(docs)
 
 
+@_stage
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by a model of the labelled ones among them."""
     return toxicity.clean_documents(docs, read_table(spark, sf_dir, "labels"), TOXIC_FROM)
 
 
+@_stage
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     return jaccard.distinct_documents(docs)
 
 
+@_stage
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret in them replaced by a mark of its kind."""
     return secrets.redact_documents(docs)
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents' token sequences and their places in training sequences."""
     return packing.pack_documents(docs, keep_ids=False)
@@ -56,7 +83,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, results = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        before = set(folders())
+        result = stage(spark, docs, sf_dir)
+        made = set(folders())
+        docs = staged(result, name)
+        remove(spark, results)  # the input of this stage
+        results = [p for p in folders() if p not in made and p not in before]
     return STAGES[-1][1](spark, docs, sf_dir)
