@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import free_name, importable, over_texts
+from meterstar.llm.common import importable, in_tasks, over_texts
 from meterstar.llm.components import components
 from meterstar.scratch import staged
 
@@ -110,36 +110,96 @@ def signatures(grams: np.ndarray, groups: np.ndarray, percent: int) -> np.ndarra
 
 
 def described(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
-    """id, size, class (128-bit hash of the set, null if empty), key (64 bits of it), marks."""
+    """id, mark, size, class (128-bit hash of the set, null if empty), key (64 bits of it).
+
+    `docs` has id, text and mark, a hash of the text that the engine can make as well.
+    """
     def make():
-        hashes, groups = WordHashes(), size_groups(percent)
+        hashes = WordHashes()
 
         def describe(batch: pa.RecordBatch) -> dict:
-            sizes, classes, keys, marks = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                grams = gram_set(text, hashes, n)
-                sizes.append(len(grams))
-                name = xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
-                classes.append(name)
-                keys.append(int.from_bytes(name[:8], "big", signed=True) if name else None)
-                marks.append(signatures(grams, groups, percent).view(np.int64))
-            ends = np.cumsum([0, *map(len, marks)])
+            sets = [gram_set(text, hashes, n) for text in batch.column(1).to_pylist()]
+            classes = [class_of(s) for s in sets]
             return {
-                "id": batch.column(0), "size": pa.array(sizes, pa.int64()),
-                "class": pa.array(classes, pa.binary()), "key": pa.array(keys, pa.int64()),
-                "marks": pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *marks]))
-                ),
+                "id": batch.column(0), "mark": batch.column(2),
+                "size": pa.array(map(len, sets), pa.int64()),
+                "class": pa.array(classes, pa.binary()),
+                "key": pa.array([c and key_of(c) for c in classes], pa.int64()),
             }
 
         return describe
 
     kind = docs.schema["id"].dataType.simpleString()
     return over_texts(
-        docs, "text", f"id {kind}, size bigint, class binary, key bigint, marks array<bigint>", make
+        docs, "text", f"id {kind}, mark bigint, size bigint, class binary, key bigint", make
     )
 
 
+def class_of(grams: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
+
+
+def key_of(name: bytes) -> int:
+    return int.from_bytes(name[:8], "big", signed=True)
+
+
+def marked(docs: DataFrame, percent: int, n: int) -> DataFrame:
+    """(mark, key) of every part that comes first in a class; of classes that a task meets
+    again, once."""
+    def make():
+        hashes, groups, seen = WordHashes(), size_groups(percent), set()
+
+        def mark(batch: pa.RecordBatch) -> dict:
+            keys, marks = [], []
+            for text in batch.column(1).to_pylist():
+                grams = gram_set(text, hashes, n)
+                name = class_of(grams)
+                if name is None or name in seen:
+                    continue
+                if len(seen) >= CACHED_WORDS:
+                    seen.clear()
+                seen.add(name)
+                own = signatures(grams, groups, percent).view(np.int64)
+                marks.append(own)
+                keys.append(np.full(len(own), key_of(name), np.int64))
+            return {"mark": np.concatenate(marks), "key": np.concatenate(keys)} if marks else {}
+
+        return mark
+
+    return over_texts(docs, "text", "mark bigint, key bigint", make)
+
+
+def candidate_edges(marks: DataFrame) -> DataFrame:
+    """An edge from each class to the smallest class it shares a mark with.
+
+    One shuffle of the marks, sorted within partitions; equal marks then stand in a row, and
+    of a row only its first key is held, however many classes share the mark.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, low = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            mark, key = (c.to_numpy() for c in batch.columns)
+            new = np.concatenate([[mark[0] != last], mark[1:] != mark[:-1]])
+            if not new[0]:
+                key_low = np.concatenate([[low], key])
+                first = np.where(new, np.arange(1, len(key) + 1), 0)
+                lows = key_low[np.maximum.accumulate(first)]
+            else:
+                lows = key[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+            last, low = mark[-1], lows[-1]
+            differ = key != lows
+            a, b = key[differ], lows[differ]
+            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"]
+            )
+
+    dealt = marks.repartition("mark").sortWithinPartitions("mark", "key")
+    return in_tasks(dealt, run, "a bigint, b bigint")
+
+
 def _shared(marks: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The incidences whose n-gram is in two documents at least, n-grams numbered from 0."""
     grams, column, count = np.unique(marks, return_inverse=True, return_counts=True)
@@ -197,7 +257,9 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _cell(table: pa.Table, percent: int) -> pa.Table:
-    names = table.column("class").to_pylist()
+    # Rows that repeat in several tasks give a class more than once.
+    first = {name: i for i, name in reversed([*enumerate(table.column("class").to_pylist())])}
+    names, table = list(first), table.take(list(first.values()))
     sets = [np.frombuffer(s, U) for s in table.column("grams").to_pylist()]
     left, right = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("left", "right"))
     i, j = linked_pairs(sets, left, right, percent)
@@ -266,46 +328,51 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Null and empty texts have the empty set and no links. Rows with equal sets are linked
     whatever their ids, so repeated rows are copies of each other; ids may be null and are
     then passed over for component_id (null if no row of the component has one). Columns
-    other than id and text are not looked at. An empty table gives no rows.
+    other than id and text are not looked at. An empty table gives no rows. The texts are
+    read three times: `docs` should be a table.
     """
     importable(docs.sparkSession)
-    docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
+                       F.xxhash64(text_column).alias("mark"))
     table = staged(described(docs, percent, n), "sets")
-
-    # Parts that two classes share, then an edge from each class to the smallest one.
-    marks = table.select("key", F.explode("marks").alias("mark"))
-    shared = marks.groupBy("mark").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    shared = shared.filter("low <> high").select("mark", "low")
-    edges = marks.join(shared, "mark").filter("key <> low").select(
-        F.col("key").alias("a"), F.col("low").alias("b")
-    )
-    candidates = components(edges).withColumnRenamed("node", "key")
+    candidates = components(candidate_edges(marked(docs, percent, n)))
+    candidates = candidates.withColumnRenamed("node", "key")
 
     classes = staged(
         table.filter("class is not null").groupBy("class").agg(
-            F.min("id").alias("least"), F.min("size").alias("size"), F.min("key").alias("key")
+            F.min("id").alias("least"), F.min("size").alias("size"), F.min("key").alias("key"),
+            F.min(F.struct("mark", "id")).alias("example"),
         ),
         "classes",
     )
     members = staged(classes.join(candidates, "key").drop("key"), "members")
 
-    # The sets of the members, made again from the text of one document of each class.
-    wanted = members.select(F.col("least").alias("_least"), F.col("class").alias("_class"))
+    # The sets of the members, made again from the text of one document of each class. Its id
+    # alone would not do: ids may repeat, or be null, with many texts.
+    wanted = members.select(
+        F.col("example.mark").alias("_mark"), F.col("example.id").alias("_id"),
+        F.col("class").alias("_class"),
+    )
     if members.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("_least"))).select("_class", "text")
+    same = (F.col("mark") == F.col("_mark")) & F.col("id").eqNullSafe(F.col("_id"))
+    texts = docs.join(wanted, same).select("_class", "text")
 
     def make():
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()
 
         def again(batch: pa.RecordBatch) -> dict:
             names, sets = [], []
             for name, text in zip(*(c.to_pylist() for c in batch.columns)):
-                grams = gram_set(text, hashes, n).tobytes()
-                # Another row with the same id, or with none, may be of another class.
-                if xxhash.xxh3_128_digest(grams) == name:
+                if name in seen:  # a repeated row
+                    continue
+                if len(seen) >= CACHED_WORDS:
+                    seen.clear()
+                seen.add(name)
+                grams = gram_set(text, hashes, n)
+                if class_of(grams) == name:
                     names.append(name)
-                    sets.append(grams)
+                    sets.append(grams.tobytes())
             return {"class": pa.array(names, pa.binary()), "grams": pa.array(sets, pa.binary())}
 
         return again
@@ -342,12 +409,21 @@ def distinct_documents(docs: DataFrame, id_column: str = "doc_id", text_column:
     Texts without words are linked with nothing and all stay. Of rows alike in id and text,
     one stays.
     """
-    row, chosen = free_name(docs, "_row"), free_name(docs, "_component")
-    # The number of a row is frozen by writing it; it stands in for ids that repeat or are null.
-    table = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"),
-                     F.col(row).alias("row"))
-    plain = table.select(order.alias("id"), F.col(text_column).alias("text"))
-    joined = join_documents(plain, "id", "text", percent, n)
-    kept = joined.filter(F.col("id") == F.col("component_id")).select(F.col("id.row").alias(chosen))
-    return table.join(kept, F.col(row) == F.col(chosen), "left_semi").select(*docs.columns)
+    mark = F.unhex(F.md5(F.col(text_column)))
+    named = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"),
+                     mark.alias("mark"))
+    plain = docs.select(named.alias("id"), F.col(text_column).alias("text"))
+    joined = staged(join_documents(plain, "id", "text", percent, n).select("id", "component_id"),
+                    "joined")
+    # The rows that go are fewer than those that stay, and only their names are needed.
+    gone = joined.filter("id <> component_id").select(F.col("id").alias("_gone")).distinct()
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    kept = docs.join(gone, named.eqNullSafe(F.col("_gone")), "left_anti")
+    again = joined.groupBy(F.col("id").alias("_again")).count().filter("count > 1").select("_again")
+    again = staged(again, "repeated")
+    if again.isEmpty():
+        return kept
+    twice = named.eqNullSafe(F.col("_again"))
+    once = kept.join(again, twice, "left_semi").withColumn("_name", named)
+    once = once.dropDuplicates(["_name"]).drop("_name")
+    return kept.join(again, twice, "left_anti").unionByName(once)
