@@ -63,7 +63,7 @@ class Network:
 
     def maxima(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each filter's largest response in each chunk, not below 0, and its place."""
-        best = np.empty((len(rows), FILTERS), np.float32)
+        best = np.empty((len(rows), FILTERS), self.filters.dtype)
         place = np.empty((len(rows), FILTERS), np.int64)
         for a in range(0, len(rows), CHUNKS_AT_ONCE):
             part = self.windows(rows[a : a + CHUNKS_AT_ONCE])
@@ -108,7 +108,9 @@ def gradients(net: Network, texts: list[bytes], labels: np.ndarray) -> tuple[lis
     d_weights, d_intercept = combined.T @ dz, dz.sum(keepdims=True)
     d_mean = dz[:, None] * net.weights[:FILTERS] / counts[:, None]
     d_max = dz[:, None] * net.weights[FILTERS:]
-    top = best >= combined[owner, FILTERS:]
+    # Chunks that tie for a document's maximum share its gradient.
+    top = (best >= combined[owner, FILTERS:]).astype(np.float32)
+    top /= np.add.reduceat(top, starts)[owner]
     d_best = (d_mean[owner] + d_max[owner] * top) * (best > 0)
     chunk, unit = np.nonzero(d_best)
     g = d_best[chunk, unit]
