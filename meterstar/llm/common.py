@@ -10,7 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 SLICE_ROWS = 2000
 
 
@@ -51,9 +53,23 @@ def importable(spark: SparkSession) -> None:
 
 
 def in_tasks(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """mapInArrow with the package importable."""
-    importable(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """mapInArrow with the package importable and Arrow batches of bounded size.
+
+    Spark's default of 64 MB a batch is held several times over, in the JVM and in Python; a
+    smaller setting of the session's own is left alone.
+    """
+    spark = df.sparkSession
+    importable(spark)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if size(spark.conf.get(BATCH_SETTING)) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        # Workers outlive tasks: what Arrow holds back goes to the system.
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def over_texts(

@@ -36,7 +36,7 @@ PART_RATIO = 1.4  # parts per part that is used
 GROUP_RATIO = 1.2  # sizes of one group of sets
 SLOT_DOCUMENTS, SLOT_GRAMS = 512, 300_000
 COLUMN_BLOCK = 4096
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 BROADCAST_ROWS = 200_000  # ids of representatives, about 40 bytes each
 
 U = np.uint64
