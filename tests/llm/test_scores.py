@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from llm_rows import EDGES, documents  # noqa: F401
 
-from meterstar.llm import quality_cnn, registry, toxicity
+from meterstar.llm import quality_cnn, registry, toxic_features, toxicity
 from meterstar.llm.common import read_table
 
 BIG = "/root/testdata/sf0.1"
@@ -61,17 +61,17 @@ def test_hard_rows_and_few_labels(spark, documents, module):  # noqa: F811
 
 
 def test_obfuscated_words_count():
-    stems = toxicity.Stems([])
-    density = toxicity.FEATURES.index("insult_density")
-    masked = toxicity.FEATURES.index("obfuscated_count")
-    plain = toxicity.features("you are an idiot today", stems)
-    assert plain[density] == 20 and plain[masked] == 0 and plain[toxicity.FEATURES.index("near_second_person")] > 0
+    stems = toxic_features.Stems([])
+    density = toxic_features.FEATURES.index("insult_density")
+    masked = toxic_features.FEATURES.index("obfuscated_count")
+    plain = toxic_features.features("you are an idiot today", stems)
+    assert plain[density] == 20 and plain[masked] == 0 and plain[toxic_features.FEATURES.index("near_second_person")] > 0
     for text in ("you 1d10t there", "you id*ot there", "you i.d.i.o.t there", "you idiooooot there",
                  "you id​iot there", "you і­dіоt there"):
-        row = toxicity.features(text, stems)
+        row = toxic_features.features(text, stems)
         assert row[density] > 0, text
-    assert toxicity.features("a fine day", stems)[density] == 0
-    assert toxicity.features(None, stems) == [0.0] * len(toxicity.FEATURES)
+    assert toxic_features.features("a fine day", stems)[density] == 0
+    assert toxic_features.features(None, stems) == [0.0] * len(toxic_features.FEATURES)
 
 
 def test_clean_documents_keep_their_columns(spark, documents):  # noqa: F811
