@@ -4,7 +4,7 @@ A worklist starts with the text itself. Every layer is scanned, then unwrapped:
 escapes and Unicode escapes give one decoded copy of the whole layer each, a base64 run
 gives a layer of its own, and a run that decodes to gzip, zlib or zstd data gives its
 inflated text. New layers join the worklist until none is new; a layer whose text was
-seen before is not visited again, which ends cycles. Each layer knows which span of its
+seen before at the same place is not visited again, which ends cycles. Each layer knows which span of its
 parent every character came from, so a finding in any depth is reported at its place in
 the original text.
 """
@@ -211,7 +211,7 @@ def unwrap(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[Layer], bool
     """All layers of a text, itself first, and whether all of them were visited whole."""
     root = Layer(text)
     done, work, room, whole = [], [root], max_decoded, True
-    seen = {xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))}
+    seen: set[bytes] = set()
     while work:
         layer = work.pop(0)
         done.append(layer)
@@ -223,10 +223,9 @@ def unwrap(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[Layer], bool
         blobs, cut = _blobs(layer, max(room, 0))
         whole &= not cut
         for new in [*filter(None, found), *blobs]:
+            # The same text in two places is two findings, so its place is in the mark.
             mark = xxhash.xxh3_128_digest(new.text.encode("utf-8", "surrogatepass"))
-            # The same blob in two places is two findings, so a blob's place is in its mark.
-            if new.via.startswith("base64"):
-                mark += repr(new.original(0, len(new.text))).encode()
+            mark += repr(new.original(0, len(new.text))).encode()
             if not new.text or mark in seen:
                 continue
             if len(new.text) > room:

@@ -60,6 +60,16 @@ def test_a_planted_secret_is_found_at_its_place(name):
     assert LAYERS[name] not in secrets.redact(text)
 
 
+@pytest.mark.parametrize("inner", ["token%3Dabcdefghij", escapes("token=abcdefghij"), b64(b"token=abcdefghij")])
+def test_a_nested_blob_planted_twice_is_found_twice(inner):
+    blob = b64(inner.encode())
+    text = f"first {blob} and\nagain {blob} end"
+    found, _, whole = secrets.find_secrets(text)
+    at = text.index(blob), text.rindex(blob)
+    assert whole and [(f[0], f[2]) for f in found] == [(a, a + len(blob)) for a in at]
+    assert blob not in secrets.redact(text)
+
+
 def test_a_secret_that_only_the_decoded_whole_shows():
     text = "x api_key%3D%22abc%64efghi%22 y"
     ((a, kind, b, depth, via, value),) = secrets.find_secrets(text)[0]
