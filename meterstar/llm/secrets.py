@@ -16,6 +16,7 @@ import binascii
 import bisect
 import re
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -44,8 +45,22 @@ UNICODE = re.compile(
 )
 ONE_UNICODE = re.compile(r"u([0-9A-Fa-f]{4})(?=\\|$)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Shortest finding: token=abcdef. Text of 16- or 32-bit units has as many such letters in a row.
+WIDE = [
+    (codec, width, re.compile(b"(?:" + unit + b"){12}"))
+    for codec, width, unit in (
+        ("utf-16-le", 2, rb"[\t\n\r\x20-\x7e]\0"), ("utf-16-be", 2, rb"\0[\t\n\r\x20-\x7e]"),
+        ("utf-32-le", 4, rb"[\t\n\r\x20-\x7e]\0\0\0"), ("utf-32-be", 4, rb"\0\0\0[\t\n\r\x20-\x7e]"),
+    )
+]
+# Where compressed bytes start in a layer of decoded escapes. Its characters are UTF-8 with
+# stray bytes as U+DC80 to U+DCFF, or one byte each.
+PACKED = re.compile("\x1f[\x8b\udc8b]\x08|x[\x01^\x9c\xda\udc9c\udcda]|\\([\xb5\udcb5]/[\xfd\udcfd]")
+LITERAL = re.compile(r"""\\([abfnrtv0\\'"/])""")
+LITERALS = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0"))
 MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"\x28\xb5\x2f\xfd")
 
+CHUNK = 1024  # compressed bytes a step: up to 1 MB of deflate's output, 32 MB of zstd's
 MAX_DECODED = 64 << 20  # characters of decoded layers of one document
 
 FINDING = "struct<kind: string, start: long, end: long, depth: int, via: string, value: string>"
@@ -105,11 +120,8 @@ class Layer:
         return ">".join(reversed(steps))
 
 
-def _percent(run: str) -> str | None:
-    try:
-        return bytes(int(x, 16) for x in ONE_PERCENT.findall(run)).decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _percent(run: str) -> str:
+    return bytes(int(x, 16) for x in ONE_PERCENT.findall(run)).decode("utf-8", "surrogateescape")
 
 
 def _unicode(run: str) -> str | None:
@@ -117,15 +129,9 @@ def _unicode(run: str) -> str | None:
         code = int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])
         return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
     if run.startswith("\\x"):
-        try:
-            return bytes.fromhex(run.replace("\\x", "")).decode("utf-8")
-        except UnicodeDecodeError:
-            return None
+        return bytes.fromhex(run.replace("\\x", "")).decode("utf-8", "surrogateescape")
     units = b"".join(int(x, 16).to_bytes(2, "big") for x in ONE_UNICODE.findall(run))
-    try:
-        return units.decode("utf-16-be")
-    except UnicodeDecodeError:
-        return None
+    return units.decode("utf-16-be", "surrogatepass")
 
 
 def _rewritten(layer: Layer, pattern: re.Pattern, decode, via: str) -> Layer | None:
@@ -158,6 +164,13 @@ def _rewritten(layer: Layer, pattern: re.Pattern, decode, via: str) -> Layer | N
     return new
 
 
+def _engine(data: bytes):
+    """A decompressor for bytes that start with one of MAGIC."""
+    if data.startswith(MAGIC[-1]):
+        return zstandard.ZstdDecompressor().decompressobj()
+    return zlib.decompressobj(wbits=47)
+
+
 def _inflated(data: bytes, room: int) -> tuple[bytes, bool]:
     """The bytes behind a compressed blob, at most `room`, and whether there were more."""
     if data.startswith(MAGIC[-1]):
@@ -168,8 +181,22 @@ def _inflated(data: bytes, room: int) -> tuple[bytes, bool]:
     return out[:room], len(out) > room
 
 
-def _as_text(data: bytes, room: int) -> tuple[str | None, bool, int]:
-    """Text of decoded bytes, unwrapping compression; whether it was cut; compression depth."""
+def _views(data: bytes) -> list[str]:
+    """Decoded bytes as text: as UTF-8, whatever is not that replaced, and in wider units."""
+    wide = set()
+    if b"\0" in data:
+        for codec, width, pattern in WIDE:
+            first: dict[int, int] = {}
+            for m in pattern.finditer(data):
+                first.setdefault(m.start() % width, m.start())
+            wide |= {(at, codec, shift) for shift, at in first.items()}
+    return [data.decode("utf-8", "replace")] + [
+        data[shift:].decode(codec, "replace") for _, codec, shift in sorted(wide)
+    ]
+
+
+def _unpacked(data: bytes, room: int) -> tuple[bytes, bool, int]:
+    """Bytes with compression unwrapped; whether they were cut; compression depth."""
     depth, cut = 0, False
     while data.startswith(MAGIC):
         try:
@@ -179,17 +206,67 @@ def _as_text(data: bytes, room: int) -> tuple[str | None, bool, int]:
         if not inner or inner == data:
             break
         data, cut, depth = inner, cut or more, depth + 1
-    try:
-        text = data.decode("utf-8", "ignore" if cut else "strict")
-    except UnicodeDecodeError:
-        return None, cut, depth
-    odd = sum(text.count(chr(c)) for c in range(9))
-    return (None if odd else text), cut, depth
+    return data, cut, depth
+
+
+def _stream_end(data: bytes) -> int:
+    """Where the compressed stream at the start of the bytes ends; 0 if it is none."""
+    engine = _engine(data)
+    for i in range(0, len(data), CHUNK):
+        try:
+            engine.decompress(data[i : i + CHUNK])
+        except (zlib.error, zstandard.ZstdError):
+            return 0
+        if engine.eof:
+            return min(i + CHUNK, len(data)) - len(engine.unused_data)
+    return len(data)
+
+
+def _spelled(text: str, via: str) -> list[Callable[[int], bytes]]:
+    """The ways decoded escapes may stand for bytes: each gives the bytes of the first n characters."""
+    def encoder(change: Callable[[str], str], codec: str, errors: str) -> Callable[[int], bytes]:
+        def encode(n: int) -> bytes:
+            own = change(text[:n])
+            try:
+                return own.encode(codec, errors)
+            except UnicodeEncodeError as e:  # no byte: the stream ends before it
+                return own[:e.start].encode(codec, errors)
+
+        return encode
+
+    changes: list[Callable[[str], str]] = [lambda x: x]
+    if via == "url" and "+" in text:
+        changes.insert(0, lambda x: x.replace("+", " "))
+    if via == "unicode" and "\\" in text:
+        changes.insert(0, lambda x: LITERAL.sub(lambda m: LITERALS.get(m[1], m[1]), x))
+    return [encoder(c, *how) for c in changes for how in (("utf-8", "surrogateescape"), ("latin-1", "strict"))]
+
+
+def _packed(layer: Layer) -> Iterator[tuple[bytes, int, int]]:
+    """Compressed bytes that the escapes of a layer stood for, and their place in it."""
+    last = 0
+    for m in PACKED.finditer(layer.text):
+        if m.start() < last:
+            continue
+        rest = layer.text[m.start():]
+        for encode in _spelled(rest, layer.via):
+            data = encode(len(rest))
+            if data.startswith(MAGIC) and (end := _stream_end(data)):
+                n = bisect.bisect_left(range(len(rest)), end, key=lambda k: len(encode(k)))
+                last = m.start() + n
+                yield data[:end], m.start(), last
+                break
 
 
 def _blobs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
-    """A layer for each base64 run, hex runs excepted, that decodes to text."""
+    """Layers for each base64 run and for compressed bytes behind escapes."""
     new, cut = [], False
+
+    def add(data: bytes, a: int, b: int, via: str, depth: int) -> None:
+        for text in _views(data):
+            new.append(Layer(text, layer, (via + ">inflate" * depth).strip(">"), layer.depth + bool(via) + depth,
+                             [0], [(a, b)], [False]))
+
     for m in BASE64.finditer(layer.text):
         run = m[0].rstrip("=").translate({45: 43, 95: 47})
         if len(run) % 4 == 1 or run.isalpha() and (run.islower() or run.isupper()):
@@ -198,12 +275,14 @@ def _blobs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
             data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
         except binascii.Error:
             continue
-        text, more, depth = _as_text(data, room)
+        data, more, depth = _unpacked(data, room)
         cut |= more
-        if text:
-            via = "base64" + ">inflate" * depth
-            new.append(Layer(text, layer, via, layer.depth + 1 + depth,
-                             [0], [(m.start(), m.end())], [False]))
+        add(data, m.start(), m.end(), "base64", depth)
+    if layer.via in ("url", "unicode"):
+        for data, start, end in _packed(layer):
+            data, more, depth = _unpacked(data, room)
+            cut |= more
+            add(data, start, end, "", depth)
     return new, cut
 
 

@@ -42,6 +42,19 @@ LAYERS = {
     "zstd": b64(zstandard.compress(SECRET.encode() * 3)),
     "base64 of gzip of base64": b64(gzip.compress(b64(SECRET.encode()).encode())),
     "unicode of base64": escapes(b64(SECRET.encode())),
+    "Latin-1 in base64": b64(f"clé: {SECRET}".encode("latin-1")),
+    "UTF-16 in base64": b64(f"Schlüssel {SECRET}".encode("utf-16")),
+    "UTF-16 BE at an odd place": b64(b"\x07" + SECRET.encode("utf-16-be")),
+    "UTF-32 in base64": b64(SECRET.encode("utf-32")),
+    "binary dump in gzip": b64(gzip.compress(bytes(range(256)) + SECRET.encode() + b"\0\1\2")),
+    "Latin-1 in url": "%E9" + "".join(f"%{b:02X}" for b in SECRET.encode()),
+    "Latin-1 in hex escapes": "\\xe9" + "".join(f"\\x{b:02x}" for b in SECRET.encode()),
+    "lone surrogate": "\\ud83d" + escapes(SECRET),
+    "url of gzip": urllib.parse.quote(gzip.compress(SECRET.encode() * 3)),
+    "form of zlib": urllib.parse.quote_plus(zlib.compress(SECRET.encode() * 3)),
+    "all of zstd as url": "".join(f"%{b:02X}" for b in zstandard.compress(SECRET.encode() * 3)),
+    "gzip as a bytes literal": repr(gzip.compress(SECRET.encode() * 3 + bytes(range(256))))[2:-1],
+    "gzip as code points": "".join(f"\\u{b:04x}" for b in gzip.compress(SECRET.encode() * 3)),
 }
 
 
