@@ -12,11 +12,10 @@ the original text.
 from __future__ import annotations
 
 import base64
-import binascii
 import bisect
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -45,6 +44,15 @@ UNICODE = re.compile(
 )
 ONE_UNICODE = re.compile(r"u([0-9A-Fa-f]{4})(?=\\|$)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Such runs over single line breaks; all but the first and the last fill their lines.
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
+PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+AFTER = re.compile(r"(?<=[+/_-])[^+/_-]")  # where a run may start that is glued to something
+# A finding, encoded or not, has as many such letters in a row.
+LETTERS = re.compile(rb"[\t\n\r\x20-\x7e]{12}")
+ENOUGH = 64  # bytes; what two letters that look like zlib's first bytes give by chance is less
 # Shortest finding: token=abcdef. Text of 16- or 32-bit units has as many such letters in a row.
 WIDE = [
     (codec, width, re.compile(b"(?:" + unit + b"){12}"))
@@ -171,14 +179,53 @@ def _engine(data: bytes):
     return zlib.decompressobj(wbits=47)
 
 
-def _inflated(data: bytes, room: int) -> tuple[bytes, bool]:
-    """The bytes behind a compressed blob, at most `room`, and whether there were more."""
-    if data.startswith(MAGIC[-1]):
-        with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-            out = reader.read(room + 1)
-    else:
-        out = zlib.decompressobj(wbits=47).decompress(data, room + 1)
-    return out[:room], len(out) > room
+@dataclass
+class Streams:
+    """What was met while inflating: streams that reached their end, and others."""
+
+    ends: int = 0
+    broken: bool = False
+
+
+def _cut(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    for chunk in chunks:
+        for i in range(0, len(chunk), CHUNK):
+            yield chunk[i : i + CHUNK]
+
+
+def _inflate(chunks: Iterator[bytes], met: Streams) -> Iterator[bytes]:
+    """The contents of the compressed streams at the start of the chunks, then the rest as it is."""
+    rest = b""
+    while True:
+        while len(rest) < 4 and (more := next(chunks, b"")):
+            rest += more
+        if not rest.startswith(MAGIC):
+            break
+        engine, certain, held, made = _engine(rest), rest[:1] != b"x", b"", 0
+        while True:
+            try:
+                out = engine.decompress(rest)
+            except (zlib.error, zstandard.ZstdError):
+                met.broken |= certain and made > 0 or made > ENOUGH
+                yield held + rest
+                yield from chunks
+                return
+            # The bytes themselves, as long as it may turn out that they are no stream.
+            held = b"" if made or out else held + rest
+            made += len(out)
+            if out:
+                yield out
+            if engine.eof:
+                break
+            rest = next(chunks, b"")
+            if not rest:
+                met.broken |= certain or made > ENOUGH
+                yield held
+                return
+        met.ends += 1
+        rest = engine.unused_data.lstrip(b"\0") if certain else engine.unused_data
+    yield rest
+    yield from chunks
 
 
 def _views(data: bytes) -> list[str]:
@@ -190,36 +237,44 @@ def _views(data: bytes) -> list[str]:
             for m in pattern.finditer(data):
                 first.setdefault(m.start() % width, m.start())
             wide |= {(at, codec, shift) for shift, at in first.items()}
-    return [data.decode("utf-8", "replace")] + [
+    return [data.decode("utf-8", "replace")] * bool(LETTERS.search(data)) + [
         data[shift:].decode(codec, "replace") for _, codec, shift in sorted(wide)
     ]
 
 
-def _unpacked(data: bytes, room: int) -> tuple[bytes, bool, int]:
-    """Bytes with compression unwrapped; whether they were cut; compression depth."""
-    depth, cut = 0, False
+def _unpacked(data: bytes, room: int, met: Streams) -> tuple[bytes, int]:
+    """Bytes with compression unwrapped, at most `room` of them; compression depth."""
+    depth = 0
     while data.startswith(MAGIC):
-        try:
-            inner, more = _inflated(data, room)
-        except (zlib.error, zstandard.ZstdError):
-            break
+        parts, size = [], 0
+        for part in _inflate(_cut([data]), met):
+            parts.append(part)
+            size += len(part)
+            if size > room:
+                met.broken = True
+                break
+        inner = b"".join(parts)[:room]
         if not inner or inner == data:
             break
-        data, cut, depth = inner, cut or more, depth + 1
-    return data, cut, depth
+        data, depth = inner, depth + 1
+    return data, depth
 
 
 def _stream_end(data: bytes) -> int:
-    """Where the compressed stream at the start of the bytes ends; 0 if it is none."""
-    engine = _engine(data)
-    for i in range(0, len(data), CHUNK):
-        try:
-            engine.decompress(data[i : i + CHUNK])
-        except (zlib.error, zstandard.ZstdError):
-            return 0
-        if engine.eof:
-            return min(i + CHUNK, len(data)) - len(engine.unused_data)
-    return len(data)
+    """Where the compressed streams at the start of the bytes end; 0 if there are none."""
+    end = 0
+    while data.startswith(MAGIC, end):
+        engine, at, made = _engine(data[end : end + 4]), end, 0
+        while not engine.eof:
+            try:
+                made += len(engine.decompress(data[at : at + CHUNK]))
+            except (zlib.error, zstandard.ZstdError):
+                return end
+            at = min(at + CHUNK, len(data))
+            if at == len(data) and not engine.eof:
+                return at if data[end : end + 1] != b"x" or made > ENOUGH else end
+        end = at - len(engine.unused_data)
+    return end
 
 
 def _spelled(text: str, via: str) -> list[Callable[[int], bytes]]:
@@ -258,32 +313,91 @@ def _packed(layer: Layer) -> Iterator[tuple[bytes, int, int]]:
                 break
 
 
+def _runs(text: str) -> Iterator[tuple[str, int, int, bool]]:
+    """Base64 runs with their places; those over line breaks first, marked by True.
+
+    Lines of a wrapped run are equally long, but for the first, which may follow other text,
+    and the last. A run is also tried from each line where the length changes, and the whole
+    chain of lines is tried as it is.
+    """
+    for m in WRAPPED.finditer(text):
+        lines = [p.span() for p in PIECE.finditer(text, m.start(), m.end())]
+        sizes = [b - a for a, b in lines]
+        chains = {(0, len(lines))}
+        for i in range(len(lines) - 1):
+            if i and sizes[i] == sizes[i - 1]:
+                continue
+            width, j = max(sizes[i], sizes[i + 1]), i + 1
+            while j < len(lines) and sizes[j] == width:
+                j += 1
+            chains.add((i, min(j + 1, len(lines)) if j == len(lines) or sizes[j] < width else j))
+        for i, j in sorted(chains, key=lambda c: (c[0] - c[1], c)):
+            run = "".join(text[a:b] for a, b in lines[i:j])
+            if len(run) >= 16 and j - i > 1:
+                yield run, lines[i][0], m.end() if j == len(lines) else lines[j - 1][1], True
+    for m in BASE64.finditer(text):
+        yield m[0].rstrip("="), m.start(), m.end(), False
+
+
 def _blobs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
-    """Layers for each base64 run and for compressed bytes behind escapes."""
-    new, cut = [], False
+    """Layers for each base64 run and for compressed bytes behind escapes, and whether all of
+    them was read."""
+    new: list[Layer] = []
+    met = Streams()
+    read: list[tuple[int, int]] = []  # wrapped runs that are one compressed stream or text
 
     def add(data: bytes, a: int, b: int, via: str, depth: int) -> None:
         for text in _views(data):
-            new.append(Layer(text, layer, (via + ">inflate" * depth).strip(">"), layer.depth + bool(via) + depth,
-                             [0], [(a, b)], [False]))
+            new.append(Layer(text, layer, (via + ">inflate" * depth).strip(">"),
+                             layer.depth + bool(via) + depth, [0], [(a, b)], [False]))
 
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").translate({45: 43, 95: 47})
-        if len(run) % 4 == 1 or run.isalpha() and (run.islower() or run.isupper()):
+    for run, a, b, wrapped in _runs(layer.text):
+        if run.isalpha() and (run.islower() or run.isupper()):
+            continue
+        i = bisect.bisect_right(read, (a, len(layer.text))) - 1
+        if i >= 0 and b <= read[i][1]:
             continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except binascii.Error:
+        starts = [0, *(m.start() for m in AFTER.finditer(run))]
+        run = run.translate({45: 43, 95: 47})
+        # A start's bytes are a part of those from the first start of the same remainder.
+        phases: dict[int, tuple[int, bytes]] = {}
+        streamed = 0
+        for at in starts:
+            if at % 4 not in phases:
+                part = run[at:]
+                part = part[: len(part) - (len(part) % 4 == 1)]
+                phases[at % 4] = at, base64.b64decode(part + "=" * (-len(part) % 4))
+            first, data = phases[at % 4]
+            offset = (at - first) // 4 * 3
+            if data.startswith(MAGIC, offset):
+                own = Streams()
+                inner, depth = _unpacked(data[offset:], room, own)
+                met.broken |= own.broken
+                if depth:
+                    add(inner, a + at if not wrapped else a, b, "base64", depth)
+                    if not own.broken and own.ends and at == 0:
+                        streamed = 1
+                        break
+        if streamed:
+            if wrapped:
+                bisect.insort(read, (a, b))
             continue
-        data, more, depth = _unpacked(data, room)
-        cut |= more
-        add(data, m.start(), m.end(), "base64", depth)
+        for first, data in phases.values():
+            add(data, a + first if not wrapped else a, b, "base64", 0)
+        if wrapped and _plain(phases[0][1]):
+            bisect.insort(read, (a, b))
     if layer.via in ("url", "unicode"):
         for data, start, end in _packed(layer):
-            data, more, depth = _unpacked(data, room)
-            cut |= more
-            add(data, start, end, "", depth)
-    return new, cut
+            inner, depth = _unpacked(data, room, met)
+            add(inner, start, end, "", depth)
+    return new, met.broken
+
+
+def _plain(data: bytes) -> bool:
+    try:
+        return b"\0" not in data and bool(data.decode("utf-8"))
+    except UnicodeDecodeError:
+        return False
 
 
 def unwrap(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[Layer], bool]:

@@ -26,6 +26,8 @@ def escapes(text):
     return "".join(f"\\u{ord(c):04x}" for c in text)
 
 
+NOISE = bytes(random.Random(1).choices(b"ghijklmnopqrstu ", k=700))
+
 LAYERS = {
     "url": urllib.parse.quote(SECRET, safe=""),
     "all of it as url": "".join(f"%{b:02X}" for b in SECRET.encode()),
@@ -54,6 +56,16 @@ LAYERS = {
     "form of zlib": urllib.parse.quote_plus(zlib.compress(SECRET.encode() * 3)),
     "all of zstd as url": "".join(f"%{b:02X}" for b in zstandard.compress(SECRET.encode() * 3)),
     "gzip as a bytes literal": repr(gzip.compress(SECRET.encode() * 3 + bytes(range(256))))[2:-1],
+    "later gzip member": b64(gzip.compress(b"log " * 9) + gzip.compress(b"more ") + gzip.compress(SECRET.encode())),
+    "later zstd frame": b64(zstandard.compress(b"log " * 9) + zstandard.compress(SECRET.encode() * 3)),
+    "text after gzip": b64(gzip.compress(b"log " * 9) + SECRET.encode()),
+    "wrapped text": base64.encodebytes(b"-" * 52 + SECRET.encode() + b" and more" * 20).decode().strip(),
+    "wrapped gzip": "blob: " + base64.encodebytes(gzip.compress(NOISE + SECRET.encode())).decode().strip(),
+    "wrapped by CRLF, indented": "\r\n  ".join(re.findall(".{1,64}", b64(zlib.compress(NOISE + SECRET.encode())))),
+    "wrapped below a word": "Attachment\n" + base64.encodebytes(zstandard.compress(NOISE + SECRET.encode())).decode().strip(),
+    "glued by /": "/data/" + b64(SECRET.encode()),
+    "glued by -": "a-bc-" + b64(SECRET.encode()),
+    "glued by _, gzip": "key_" + b64(gzip.compress(SECRET.encode() * 3)),
     "gzip as code points": "".join(f"\\u{b:04x}" for b in gzip.compress(SECRET.encode() * 3)),
 }
 
@@ -130,6 +142,14 @@ def test_cycles_and_bombs_end():
     assert any(f[1] == 0 and f[3] > 0 for f in found)
 
 
+def test_a_stream_without_its_end_is_not_whole():
+    data = gzip.compress(SECRET.encode() + b" " + NOISE)
+    for cut in (b64(data[:-20]), base64.encodebytes(data[:-20]).decode(), urllib.parse.quote(data[:-20])):
+        found, _, whole = secrets.find_secrets("see " + cut)
+        assert not whole and any(f[1] == 0 for f in found)
+    assert secrets.find_secrets("100%25 of x^2 and x^, 50%25")[2]
+
+
 def test_query_rows(spark, documents):
     rows = EDGES + [(9, 'api_key: "abc-123_xyz" é ' + "0a" * 12), (10, b64(SECRET.encode()))]
     got = secrets.digest(secrets.scan_secrets(documents(rows))).collect()
