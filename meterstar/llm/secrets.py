@@ -1,10 +1,11 @@
 """Secret scans that also look into encoded text.
 
-A worklist starts with the text itself. Every layer is scanned, then unwrapped: percent
-escapes and Unicode escapes give one decoded copy of the whole layer each, a base64 run
-gives a layer of its own, and a run that decodes to gzip, zlib or zstd data gives its
-inflated text. New layers join the worklist until none is new; a layer whose text was
-seen before at the same place is not visited again, which ends cycles. Each layer knows which span of its
+A walk starts with the text itself. Every layer is scanned, then unwrapped: percent escapes
+and Unicode escapes give one decoded copy of the whole layer each, a base64 run, also one over
+line breaks or glued to a path, gives a layer of its own, and bytes that start gzip, zlib or
+zstd streams give what these inflate to. Bytes that are not UTF-8 are read as they are, and as
+text of 16- and 32-bit units. A layer whose text was seen before at the same place is not
+visited again, which ends cycles. Each layer knows which span of its
 parent every character came from, so a finding in any depth is reported at its place in
 the original text.
 """
@@ -17,6 +18,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
 import xxhash
@@ -69,7 +71,9 @@ LITERALS = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0"))
 MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"\x28\xb5\x2f\xfd")
 
 CHUNK = 1024  # compressed bytes a step: up to 1 MB of deflate's output, 32 MB of zstd's
-MAX_DECODED = 64 << 20  # characters of decoded layers of one document
+MAX_DECODED = 64 << 20  # inflated bytes of one document that are looked at in one piece
+WINDOW, OVERLAP = 1 << 20, 64 << 10  # what is beyond them is read in windows
+HEAD = 4096
 
 FINDING = "struct<kind: string, start: long, end: long, depth: int, via: string, value: string>"
 FINDING_TYPE = pa.struct(
@@ -242,22 +246,49 @@ def _views(data: bytes) -> list[str]:
     ]
 
 
-def _unpacked(data: bytes, room: int, met: Streams) -> tuple[bytes, int]:
-    """Bytes with compression unwrapped, at most `room` of them; compression depth."""
-    depth = 0
-    while data.startswith(MAGIC):
-        parts, size = [], 0
-        for part in _inflate(_cut([data]), met):
-            parts.append(part)
-            size += len(part)
-            if size > room:
-                met.broken = True
-                break
-        inner = b"".join(parts)[:room]
-        if not inner or inner == data:
+@dataclass
+class Visit:
+    """One document's walk: bytes that may still be inflated in one piece, and the original
+    places of streams that have no end or were read in windows."""
+
+    room: int
+    unread: list[tuple[int, int]] = field(default_factory=list)
+
+
+def _peek(chunks: Iterator[bytes]) -> tuple[bytes, Iterator[bytes]]:
+    taken, size = [], 0
+    while size < HEAD and (chunk := next(chunks, b"")):
+        taken.append(chunk)
+        size += len(chunk)
+    return b"".join(taken)[:HEAD], chain(taken, chunks)
+
+
+def _unpacked(data: bytes, visit: Visit, met: Streams) -> Iterator[tuple[bytes, int]]:
+    """Bytes with all compression unwrapped, and its depth; nothing if there is none.
+
+    One piece, as long as the document's room lasts, then overlapping windows.
+    """
+    chunks, head, depth, heads = iter([data]), data[:HEAD], 0, set()
+    while head.startswith(MAGIC) and head not in heads:
+        heads.add(head)
+        inner, chunks = _peek(_inflate(_cut(chunks), met))
+        if inner == head:  # no stream
             break
-        data, depth = inner, depth + 1
-    return data, depth
+        head, depth = inner, depth + 1
+    if not depth:
+        return
+    size, held = max(visit.room, WINDOW), bytearray()
+    for chunk in chunks:
+        held += chunk
+        while len(held) > size:
+            met.broken = True
+            visit.room = 0
+            yield bytes(held[:size]), depth
+            del held[: size - OVERLAP]
+            size = WINDOW
+    visit.room = max(visit.room - len(held), 0)
+    if held:
+        yield bytes(held), depth
 
 
 def _stream_end(data: bytes) -> int:
@@ -339,17 +370,20 @@ def _runs(text: str) -> Iterator[tuple[str, int, int, bool]]:
         yield m[0].rstrip("="), m.start(), m.end(), False
 
 
-def _blobs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
-    """Layers for each base64 run and for compressed bytes behind escapes, and whether all of
-    them was read."""
-    new: list[Layer] = []
-    met = Streams()
+def _blobs(layer: Layer, visit: Visit) -> Iterator[Layer]:
+    """Layers for each base64 run and for compressed bytes behind escapes."""
     read: list[tuple[int, int]] = []  # wrapped runs that are one compressed stream or text
 
-    def add(data: bytes, a: int, b: int, via: str, depth: int) -> None:
+    def layers(data: bytes, a: int, b: int, via: str, depth: int) -> Iterator[Layer]:
         for text in _views(data):
-            new.append(Layer(text, layer, (via + ">inflate" * depth).strip(">"),
-                             layer.depth + bool(via) + depth, [0], [(a, b)], [False]))
+            yield Layer(text, layer, (via + ">inflate" * depth).strip(">"),
+                        layer.depth + bool(via) + depth, [0], [(a, b)], [False])
+
+    def inflated(data: bytes, a: int, b: int, via: str, met: Streams) -> Iterator[Layer]:
+        for inner, depth in _unpacked(data, visit, met):
+            yield from layers(inner, a, b, via, depth)
+        if met.broken:
+            visit.unread.append(Layer("", layer, "", 0, [0], [(a, b)], [False]).original(0, 1))
 
     for run, a, b, wrapped in _runs(layer.text):
         if run.isalpha() and (run.islower() or run.isupper()):
@@ -361,7 +395,7 @@ def _blobs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
         run = run.translate({45: 43, 95: 47})
         # A start's bytes are a part of those from the first start of the same remainder.
         phases: dict[int, tuple[int, bytes]] = {}
-        streamed = 0
+        streamed = False
         for at in starts:
             if at % 4 not in phases:
                 part = run[at:]
@@ -370,27 +404,22 @@ def _blobs(layer: Layer, room: int) -> tuple[list[Layer], bool]:
             first, data = phases[at % 4]
             offset = (at - first) // 4 * 3
             if data.startswith(MAGIC, offset):
-                own = Streams()
-                inner, depth = _unpacked(data[offset:], room, own)
-                met.broken |= own.broken
-                if depth:
-                    add(inner, a + at if not wrapped else a, b, "base64", depth)
-                    if not own.broken and own.ends and at == 0:
-                        streamed = 1
-                        break
+                met = Streams()
+                yield from inflated(data[offset:], a if wrapped else a + at, b, "base64", met)
+                if met.ends and not at:
+                    streamed = True
+                    break
         if streamed:
             if wrapped:
                 bisect.insort(read, (a, b))
             continue
         for first, data in phases.values():
-            add(data, a + first if not wrapped else a, b, "base64", 0)
+            yield from layers(data, a if wrapped else a + first, b, "base64", 0)
         if wrapped and _plain(phases[0][1]):
             bisect.insort(read, (a, b))
     if layer.via in ("url", "unicode"):
         for data, start, end in _packed(layer):
-            inner, depth = _unpacked(data, room, met)
-            add(inner, start, end, "", depth)
-    return new, met.broken
+            yield from inflated(data, start, end, "", Streams())
 
 
 def _plain(data: bytes) -> bool:
@@ -400,47 +429,61 @@ def _plain(data: bytes) -> bool:
         return False
 
 
-def unwrap(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[Layer], bool]:
-    """All layers of a text, itself first, and whether all of them were visited whole."""
+def _children(layer: Layer, visit: Visit) -> Iterator[Layer]:
+    if "%" in layer.text and (new := _rewritten(layer, PERCENT, _percent, "url")):
+        yield new
+    if ("\\" in layer.text or "&#" in layer.text) and (
+        new := _rewritten(layer, UNICODE, _unicode, "unicode")
+    ):
+        yield new
+    yield from _blobs(layer, visit)
+
+
+def _layers(text: str, visit: Visit) -> Iterator[Layer]:
+    """The text and its layers, depth first, so that only a layer's ancestors are held."""
     root = Layer(text)
-    done, work, room, whole = [], [root], max_decoded, True
+    yield root
     seen: set[bytes] = set()
-    while work:
-        layer = work.pop(0)
-        done.append(layer)
-        found: list[Layer] = []
-        if "%" in layer.text:
-            found.append(_rewritten(layer, PERCENT, _percent, "url"))
-        if "\\" in layer.text or "&#" in layer.text:
-            found.append(_rewritten(layer, UNICODE, _unicode, "unicode"))
-        blobs, cut = _blobs(layer, max(room, 0))
-        whole &= not cut
-        for new in [*filter(None, found), *blobs]:
-            # The same text in two places is two findings, so its place is in the mark.
-            mark = xxhash.xxh3_128_digest(new.text.encode("utf-8", "surrogatepass"))
-            mark += repr(new.original(0, len(new.text))).encode()
-            if not new.text or mark in seen:
-                continue
-            if len(new.text) > room:
-                whole = False
-                continue
+    stack = [_children(root, visit)]
+    while stack:
+        new = next(stack[-1], None)
+        if new is None:
+            stack.pop()
+            continue
+        # The same text in two places is two findings, so its place is in the mark.
+        mark = xxhash.xxh3_128_digest(new.text.encode("utf-8", "surrogatepass"))
+        mark += repr(new.original(0, len(new.text))).encode()
+        if new.text and mark not in seen:
             seen.add(mark)
-            room -= len(new.text)
-            work.append(new)
-    return done, whole
+            yield new
+            stack.append(_children(new, visit))
+
+
+def unwrap(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[Layer], bool]:
+    """All layers of a text, itself first, and whether all of them were visited whole."""
+    visit = Visit(max_decoded)
+    layers = list(_layers(text, visit))
+    return layers, not visit.unread
+
+
+def _find(text: str, max_decoded: int) -> tuple[list[tuple], int, list[tuple[int, int]]]:
+    found: dict[tuple, tuple] = {}
+    visit, n = Visit(max_decoded), 0
+    for layer in _layers(text, visit):
+        n += 1
+        for a, k, b in base_spans(layer.text):
+            start, end = layer.original(a, b)
+            known = found.get((start, k, end))
+            if known is None or layer.depth < known[0]:
+                found[start, k, end] = layer.depth, layer.path(), layer.text[a:b]
+    return [(*key, *found[key]) for key in sorted(found)], n, visit.unread
 
 
 def find_secrets(text: str, max_decoded: int = MAX_DECODED) -> tuple[list[tuple], int, bool]:
     """(start, kind number, end, depth, via, value) of all findings by place, the number of
     layers, and whether all layers were visited whole. One place and kind is one finding."""
-    base = base_spans(text)
-    found = {(a, k, b): (0, "", text[a:b]) for a, k, b in base}
-    layers, whole = unwrap(text, max_decoded)
-    for layer in layers[1:]:
-        for a, k, b in base_spans(layer.text):
-            start, end = layer.original(a, b)
-            found.setdefault((start, k, end), (layer.depth, layer.path(), layer.text[a:b]))
-    return [(*key, *found[key]) for key in sorted(found)], len(layers), whole
+    found, n, unread = _find(text, max_decoded)
+    return found, n, not unread
 
 
 def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -449,9 +492,10 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     `findings` are sorted by start, kind (assign, access, hex) and end; `depth` 0 marks the
     plain patterns, a larger one a finding in a decoded layer, with `via` naming the steps.
-    Places are code points of the original text, end exclusive. `whole` is false if decoded
-    layers of one document exceed `max_decoded` characters (a decompression bomb): what
-    was decoded is still scanned, and the plain text always is. Null and empty texts have
+    Places are code points of the original text, end exclusive. `whole` is false if a
+    compressed stream has no end, or if more than `max_decoded` bytes of one document inflate
+    (a decompression bomb): what is beyond is read in windows of 1 MB that overlap by 64 KB, so
+    that only longer findings and encodings can be cut. Null and empty texts have
     no findings. Ids may be null or repeat; other columns are not looked at.
     """
 
@@ -503,14 +547,17 @@ def digest(scanned: DataFrame, id_column: str = "doc_id") -> DataFrame:
     )
 
 
-def redact(text: str) -> str:
-    """The text with every finding, overlapping ones merged, replaced by a mark of its kind."""
+def redact(text: str, max_decoded: int = MAX_DECODED) -> str:
+    """The text with every finding, overlapping ones merged, replaced by a mark of its kind, and
+    what could not be read whole by <UNREAD>."""
+    found, _, unread = _find(text, max_decoded)
+    places = [(a, k, b) for a, k, b, *_ in found] + [(a, -1, b) for a, b in unread]
     parts, at = [], 0
-    for a, k, b, *_ in find_secrets(text)[0]:
+    for a, k, b in sorted(places):
         if b <= at:
             continue
         if a >= at:
-            parts += [text[at:a], f"<{KINDS[k].upper()}>"]
+            parts += [text[at:a], "<UNREAD>" if k < 0 else f"<{KINDS[k].upper()}>"]
         at = b
     return "".join(parts) + text[at:]
 

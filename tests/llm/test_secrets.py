@@ -150,6 +150,19 @@ def test_a_stream_without_its_end_is_not_whole():
     assert secrets.find_secrets("100%25 of x^2 and x^, 50%25")[2]
 
 
+def test_size_loses_no_escapes_and_bombs_are_read_to_their_end():
+    text = "plain words " * 200 + "token%3Dabcdefgh and \\u0074oken%3Dhgfedcba"
+    found, _, whole = secrets.find_secrets(text, max_decoded=100)
+    assert whole and {f[5] for f in found} == {"token=abcdefgh", "token=hgfedcba"}
+    bomb = b64(gzip.compress(gzip.compress(b"x" * 3_000_000 + b" token=abcdefgh " + b"y" * 3_000_000)))
+    text = f"see {bomb} end"
+    ((a, _, b, *_, value),), _, whole = secrets.find_secrets(text, max_decoded=1 << 20)
+    assert not whole and (a, b, value) == (4, 4 + len(bomb), "token=abcdefgh")
+    assert secrets.redact(text, max_decoded=1 << 20) == "see <UNREAD> end"
+    assert secrets.redact("see " + b64(gzip.compress(NOISE)[:-20])) == "see <UNREAD>"
+    assert secrets.find_secrets("see " + b64(gzip.compress(b"")) + " end")[2]
+
+
 def test_query_rows(spark, documents):
     rows = EDGES + [(9, 'api_key: "abc-123_xyz" é ' + "0a" * 12), (10, b64(SECRET.encode()))]
     got = secrets.digest(secrets.scan_secrets(documents(rows))).collect()
