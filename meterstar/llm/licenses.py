@@ -2,7 +2,8 @@
 
 Words are runs of ASCII letters and digits (lower-cased) and of everything outside ASCII;
 a text becomes its words joined by single spaces. A rule is a regular expression over that
-form. It is tried only if its keyword occurs in the text. Detections are resolved in order
+form. It is tried only if its keyword, which every match contains, occurs
+in the text. Detections are resolved in order
 of priority: one that lies inside the interval of an accepted detection is suppressed, so
 "gpl 2 0" inside a full grant for "gpl 2 0 or later" says nothing of its own.
 """
@@ -58,11 +59,11 @@ apache-1.0 | 80 | apache | apache (?:software )?license (?:version |v ?)?1 0
 apache-2.0 | 70 | spdx | spdx license identifier apache 2 0
 apache-2.0 | 50 | apache | apache (?:v ?)?2(?: 0)?
 apache | 60 | apache | apache software license
-apache-1.1 | 90 | apache software foundation | this product includes software developed by the apache (?:software foundation|group)
+apache-1.1 | 90 | apache | this product includes software developed by the apache (?:software foundation|group)
 apache-2.0 | 30 | apache | apache org licenses license 2 0
-gpl-3.0-or-later | 90 | redistribute | gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version
-gpl-2.0-or-later | 90 | redistribute | gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version
-gpl-1.0-or-later | 90 | redistribute | gnu general public license as published by the free software foundation either version 1 of the license or at your option any later version
+gpl-3.0-or-later | 90 | general public | gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version
+gpl-2.0-or-later | 90 | general public | gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version
+gpl-1.0-or-later | 90 | general public | gnu general public license as published by the free software foundation either version 1 of the license or at your option any later version
 gpl-2.0-only | 90 | free software foundation | gnu general public license (?:version 2 )?as published by the free software foundation version 2
 gpl-3.0-only | 90 | free software foundation | gnu general public license (?:version 3 )?as published by the free software foundation version 3
 gpl-3.0 | 80 | general public | gnu general public license (?:version |v ?)?3(?: 0)?
@@ -157,7 +158,7 @@ eupl | 50 | eupl | eupl(?: v ?)?(?: 1 [012])?
 cc0-1.0 | 80 | cc0 | cc0 (?:1 0|universal|public domain)(?: universal)?
 cc0-1.0 | 50 | cc0 | (?:licensed|released|available) under cc0
 cc0-1.0 | 60 | creative commons | creative commons (?:zero|cc0)(?: 1 0)?(?: universal)?
-cc0-1.0 | 90 | no copyright | the person who associated a work with this deed has dedicated the work to the public domain
+cc0-1.0 | 90 | this deed | the person who associated a work with this deed has dedicated the work to the public domain
 cc-by-nc-nd-4.0 | 80 | cc by | cc by nc nd 4 0
 cc-by-nc-nd-3.0 | 80 | cc by | cc by nc nd 3 0
 cc-by-nc-sa-4.0 | 80 | cc by | cc by nc sa 4 0
@@ -180,9 +181,9 @@ cc-by-nc | 50 | cc by | cc by nc
 cc-by-nd | 50 | cc by | cc by nd
 cc-by-sa | 50 | cc by | cc by sa
 cc-by | 40 | cc by | cc by
-cc-by-nc-nd | 80 | noncommercial | attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: [234] [05])?(?: international| unported| generic)?
-cc-by-nc-sa | 80 | noncommercial | attribution non ?commercial share ?alike(?: [234] [05])?(?: international| unported| generic)?
-cc-by-nc | 60 | noncommercial | attribution non ?commercial(?: [234] [05])?(?: international| unported| generic)?
+cc-by-nc-nd | 80 | commercial | attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: [234] [05])?(?: international| unported| generic)?
+cc-by-nc-sa | 80 | commercial | attribution non ?commercial share ?alike(?: [234] [05])?(?: international| unported| generic)?
+cc-by-nc | 60 | commercial | attribution non ?commercial(?: [234] [05])?(?: international| unported| generic)?
 cc-by-sa | 60 | share | attribution share ?alike(?: [234] [05])?(?: international| unported| generic)?
 cc-by-nd | 60 | attribution | attribution no ?deriv(?:ative)?s?(?: works)?(?: [234] [05])?(?: international| unported| generic)?
 cc-by-4.0 | 80 | creative commons | creative commons attribution 4 0(?: international)?(?: licen[sc]e)?

@@ -47,6 +47,10 @@ def found(text):
     ("3-Clause BSD License", {"bsd-3-clause"}),
     ("Mozilla Public License, v. 2.0", {"mpl-2.0"}),
     ("This is free and unencumbered software released into the public domain.", {"unlicense"}),
+    ("Creative Commons Attribution-Non-Commercial-ShareAlike 4.0", {"cc-by", "cc-by-nc-sa"}),
+    ("distributed under the terms of the GNU General Public License as published by the Free Software Foundation;"
+     " either version 3 of the License, or (at your option) any later version", {"gpl-3.0-or-later"}),
+    ("This product includes software developed by the Apache Group", {"apache-1.1"}),
     ("All rights reserved.", {"all-rights-reserved"}),
     ("an apache helicopter, a bison and a sleepy cat", set()),
 ])
@@ -61,6 +65,41 @@ def test_there_are_hundreds_of_rules_and_their_keywords_are_needed():
             assert 0 < rule.priority <= 100
 
 
+def sample(parsed, rng):
+    """A random string that the parsed pattern matches."""
+    out = ""
+    for op, arg in parsed:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "IN":
+                kind, value = rng.choice(arg)
+                out += {"LITERAL": lambda: chr(value), "RANGE": lambda: chr(rng.randint(*value)),
+                        "CATEGORY": lambda: "19"[rng.randrange(2)]}[str(kind)]()
+            case "MAX_REPEAT":
+                for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 2))):
+                    out += sample(arg[2], rng)
+            case "BRANCH":
+                out += sample(rng.choice(arg[1]), rng)
+            case "SUBPATTERN":
+                out += sample(arg[3], rng)
+            case "ASSERT":
+                out += ""
+            case other:
+                raise AssertionError(other)
+    return out
+
+
+def test_no_keyword_hides_a_match():
+    rng = random.Random(8)
+    for keyword, group in L.rules().items():
+        for rule in group:
+            parsed = re._parser.parse(rule.pattern.pattern)
+            for _ in range(200):
+                body = f" {sample(parsed, rng)} ".encode("latin-1")
+                assert rule.pattern.search(body) and keyword in body, (rule, body)
+
+
 def test_resolution_against_a_slow_one():
     rng = random.Random(7)
     texts = ["gnu general public license version 2 or later", "apache license version 2 0", "cc by sa 4 0", "mit license",
