@@ -40,6 +40,28 @@ def slices(
             yield batch.slice(start)
 
 
+# Byte tables that make every separator of words a space and A-Z lower case.
+_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+BY_WHITESPACE = bytes(32 if 9 <= b <= 13 else b for b in _LOWER)
+BY_SYMBOLS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in _LOWER)
+PIECE_BYTES = 1 << 20
+
+
+def words_of(text: str | None, table: bytes, limit: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text in lists of about `limit` bytes; a null text has none.
+
+    `table` is BY_WHITESPACE or BY_SYMBOLS. A list of all words of a very long text would be
+    many times larger than the text.
+    """
+    data = (text or "").encode("utf-8", "surrogatepass").translate(table)
+    start = 0
+    while start < len(data):
+        end = data.find(b" ", start + limit) if len(data) - start > limit else -1
+        end = len(data) if end < 0 else end
+        yield data[start:end].split()
+        start = end
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from wherever the driver did.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +54,17 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.coalesce("next", "root").alias("root")
         )
     return result
+
+
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n nodes, the smallest node reachable by the edges; of few edges, in one task."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.llm.common import importable, in_tasks, over_texts
-from meterstar.llm.components import components
+from meterstar.llm.components import components, forest
 from meterstar.scratch import staged
 
 N = 3
@@ -242,20 +242,6 @@ def linked_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
     return i[keep], j[keep]
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes, the smallest node reachable by the edges."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, least)
-        np.minimum.at(new, j, least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _cell(table: pa.Table, percent: int) -> pa.Table:
     # Rows that repeat in several tasks give a class more than once.
     first = {name: i for i, name in reversed([*enumerate(table.column("class").to_pylist())])}

@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_cnn, quality_rules, secrets, topk, toxicity
+from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_cnn, quality_rules, secrets, simhash, topk, toxicity
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
@@ -76,6 +76,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -88,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_chat": op9_chat,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_simhash": op11_simhash,
         "pipeline": corpus_pipeline.run,
     }
 
