@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_cnn, quality_rules, secrets, simhash, topk, toxicity
+from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_cnn, quality_rules, secrets, simhash, topk, toxicity, whitening
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
@@ -80,6 +80,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -93,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_chat": op9_chat,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_simhash": op11_simhash,
+        "op12_whitening": op12_whitening,
         "pipeline": corpus_pipeline.run,
     }
 
