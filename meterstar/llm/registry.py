@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import bpe, chat, jaccard, licenses, packing, quality_cnn, quality_rules, secrets, simhash, topk, toxicity, whitening
+from meterstar.llm import bpe, chat, jaccard, lexical, licenses, packing, quality_cnn, quality_rules, secrets, simhash, topk, toxicity, whitening
 from meterstar.llm.common import read_table
 
 # A conversation whose texts are nothing but another template's control strings.
@@ -84,6 +84,12 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(
+        read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -98,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_jaccard_join": op10_jaccard_join,
         "op11_simhash": op11_simhash,
         "op12_whitening": op12_whitening,
+        "op13_dual_tree": op13_dual_tree,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -240,5 +247,37 @@ join (select node as doc_id, min(seen) as component_id from reach group by node)
 """
 
 
+OP13_SQL = r"""
+with texts as (
+    select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+    from documents where text is not null),
+sized as (select doc_id, w, len(w) as n from texts where len(w) > 0),
+totals as (select count(*) as docs, cast(sum(n) as bigint) as terms from sized),
+asked as (
+    select item_id, term, count(*) as q from (
+        select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark)
+    group by item_id, term),
+held as (
+    select doc_id, term, n, count(*) as tf from (select doc_id, n, unnest(w) as term from sized)
+    where term in (select term from asked) group by doc_id, term, n),
+weighed as (
+    select term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as weight
+    from held, totals group by term),
+scored as (
+    select item_id, doc_id, cast(sum(q * weight * ((1000000000 * tf) //
+               (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) as bigint) as score
+    from asked join held using (term) join weighed using (term), totals group by item_id, doc_id),
+ranked as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int)
+               as rank, doc_id, score
+    from scored where score > 0)
+select * from ranked where rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3_SQL, "op10_jaccard_join": OP10_SQL, "op5_quality_rules": OP5_SQL, "op9_chat": OP9_SQL}
+    return {"op3_topk": OP3_SQL, "op10_jaccard_join": OP10_SQL, "op5_quality_rules": OP5_SQL,
+            "op9_chat": OP9_SQL, "op13_dual_tree": OP13_SQL}
