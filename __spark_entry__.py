@@ -8,7 +8,6 @@ once per application.
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +19,21 @@ from meterstar.operators.derive import (
     pickup_calendar,
     trip_duration,
 )
-from meterstar.plans import reports
+from meterstar.plans import etl, maintained, reports
+from meterstar.plans.increment import load_new_files
 from meterstar.plans.mart import star_of
 from meterstar.plans.views import warehouse_tables
+from meterstar.schemas import FACT_PARTITIONS
 from meterstar.scratch import new_folder
-from meterstar.sinks.warehouse import write_fact
+from meterstar.sinks import metrics
+from meterstar.sinks.warehouse import write_fact, write_star
 from meterstar.sources.tables import nation_zones, order_line_trips, table
+from meterstar.sources.warehouse import read_star
 
-# The pipeline package registers its own queries where it is installed.
-if find_spec("meterstar.llm") and find_spec("meterstar.llm.registry"):
+# The pipeline package registers its own queries where it can be imported.
+try:
     from meterstar.llm import registry as llm
-else:
+except ImportError:
     llm = None
 
 AS_OF = "1998-04-15"
@@ -134,6 +137,55 @@ def _after_reload(s) -> DataFrame:
     )
 
 
+def _written_while_counting(spark: SparkSession, sf_dir: str):
+    """The metrics of a job's two writes."""
+    trips = _trips(spark, sf_dir)
+    root, of_fact, of_others = new_folder(spark, "counted"), etl.fact_metrics(), metrics.WriteMetrics(outcomes=True)
+    write_fact(star.fact_measures(quality.valid_trips(trips)), f"{root}/fact", metrics=of_fact)
+    etl.load_quarantine(order_line_trips(spark, sf_dir), f"{root}/set-aside", metrics=of_others)
+    return of_fact, of_others
+
+
+def _after_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after two loads of raw files, the second of those that were new."""
+    folder, third = new_folder(spark, "raw-files"), F.col("l_orderkey") % 3
+    raw = order_line_trips(spark, sf_dir)
+    place = [f"{folder}/raw/*", f"{folder}/no-zones.csv", f"{folder}/warehouse", f"{folder}/set-aside"]
+    for name, part in (("first", third < 2), ("second", third == 2)):
+        raw.filter(part).write.parquet(f"{folder}/raw/{name}")
+        load_new_files(spark, [place[0]], *place[1:])
+    return (
+        read_star(spark, place[2]).fact.groupBy(*FACT_PARTITIONS)
+        .agg(F.count(F.lit(1)).alias("trips"), F.count_distinct("trip_id").alias("ids"),
+             F.sum("fare_amount").cast("double").alias("revenue"))
+    )
+
+
+def _kept_totals(s) -> str:
+    """A warehouse whose totals were made without one month, and renewed for it alone."""
+    spark = s.fact.sparkSession
+    root, measures = new_folder(spark, "kept-totals"), s.fact.drop("trip_id")
+    late = (F.col("pickup_year") == YEAR) & (F.col("pickup_month") == MONTH)
+    write_star(measures.filter(~late), root, s.dim_zone)
+    maintained.refresh(spark, root)
+    write_fact(measures.filter(late), f"{root}/fact_trips", months_only=True)
+    s.dim_date.write.mode("overwrite").parquet(f"{root}/dim_date")
+    maintained.refresh(spark, root, [(YEAR, MONTH)])
+    return root
+
+
+def _planted_duplicates(s) -> DataFrame:
+    """What the audit by intervals finds in a fact that holds one month's trips twice."""
+    path = f"{new_folder(s.fact.sparkSession, 'twice')}/fact"
+    write_fact(s.fact.drop("trip_id"), path)
+    fact = s.fact.sparkSession.read.parquet(path)
+    twice = fact.filter((F.col("pickup_year") == YEAR) & (F.col("pickup_month") == MONTH))
+    twice.write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)
+    found = audit.duplicate_ids(s.fact.sparkSession.read.parquet(path))
+    return found.agg(F.count(F.lit(1)).alias("duplicate_keys"),
+                     F.coalesce(F.sum("rows"), F.lit(0)).alias("trips"))
+
+
 def _null_keys(trips: DataFrame) -> DataFrame:
     """Fact measures with a null payment key for every third line number."""
     third = F.col("l_linenumber") % 3 == 0
@@ -179,6 +231,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     on_star: dict[str, Callable] = {
         "q1_last_month": lambda s: reports.last_month(s.fact, s.dim_date, AS_OF),
+        "q1_from_dates": lambda s: reports.last_month_of_dates(s.fact, s.dim_date, AS_OF),
+        "quarter_from_dates": lambda s: reports.quarter_summary(s.fact, s.dim_date, YEAR, 2),
+        "vw_monthly_summary_kept": lambda s: maintained.monthly_summary(
+            s.fact.sparkSession, _kept_totals(s)
+        ),
+        "vw_zone_revenue_kept": lambda s: maintained.zone_revenue(
+            s.fact.sparkSession, _kept_totals(s)
+        ),
+        "trip_id_duplicates": _planted_duplicates,
         "q2_top_zones": lambda s: reports.top_zones(s.fact, s.dim_zone),
         "q3_borough_revenue": lambda s: reports.borough_revenue(s.fact, s.dim_zone),
         "q4_zone_duration": lambda s: reports.zone_durations(s.fact, s.dim_zone),
@@ -229,9 +290,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "payment_key",
         ),
         "fact_roundtrip": lambda s: _roundtrip(s.fact),
-        "partition_layout": lambda s: audit.partition_layout(s.fact).select(
-            "pickup_year", "pickup_month", "trips", (F.col("files") > 0).alias("has_files")
-        ),
+        "partition_layout": lambda s: audit.partition_layout(s.fact),
         "trip_id_unique": lambda s: s.fact.agg(
             F.count(F.lit(1)).alias("trips"), F.count_distinct("trip_id").alias("ids")
         ),
@@ -266,6 +325,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _null_keys(_trips(spark, d)), star_of(spark, d)
         ),
         "pk_duplicates": _primary_keys,
+        "split_counts_while_writing": lambda spark, d: metrics.split_counts(
+            spark, *_written_while_counting(spark, d)
+        ),
+        "fact_nulls_while_writing": lambda spark, d: metrics.null_audit(
+            spark, _written_while_counting(spark, d)[0]
+        ),
+        "fact_after_new_files": _after_new_files,
         "fk_orphans_unchecked": lambda spark, d: _foreign_keys(
             star.fact_measures(_trips(spark, d)), star_of(spark, d)
         ),
@@ -406,7 +472,8 @@ def _fits(table: str, rows: str, column: str, kind: str) -> str:
     elif base == "VARCHAR":
         good, length, largest = f"length({value}) <= {size}", f"max(length({value}))", "null"
     elif base in audit.RANGES:
-        good = f"{value} {audit.RANGES[base]}"
+        least, most = audit.RANGES[base]
+        good = f"{value} between {least} and {most}"
     else:
         good, largest = "true", "null"
     return f"""select '{table}' as table_name, '{column}' as column_name,
@@ -507,8 +574,19 @@ def oracle_sql() -> dict[str, str]:
             trip_duration, passenger_count, pickup_year, pickup_month from fact_trips""",
         "fact_roundtrip": """select pickup_year, pickup_month, count(*) as trips,
             cast(sum(fare_amount) as double) as revenue from fact_trips group by 1, 2""",
+        # A month here is far smaller than a file may be, so the write makes one of each.
         "partition_layout": """select pickup_year, pickup_month, count(*) as trips,
-            true as has_files from fact_trips group by 1, 2""",
+            cast(1 as bigint) as files from fact_trips group by 1, 2""",
+        "fact_after_new_files": """select pickup_year, pickup_month, count(*) as trips,
+            count(*) as ids, cast(sum(fare_amount) as double) as revenue
+            from fact_trips group by 1, 2""",
+        "trip_id_duplicates": f"""select count(*) as duplicate_keys,
+            cast(2 * count(*) as bigint) as trips from fact_trips
+            where pickup_year = {YEAR} and pickup_month = {MONTH}""",
+        "fact_nulls_while_writing": " union all ".join(
+            f"select '{c}' as column_name, count(case when {c} is null then 1 end) as nulls from fact_trips"
+            for c in audit.NOT_NULL["fact_trips"] if c != "trip_id"
+        ),
         "trip_id_unique": "select count(*) as trips, count(*) as ids from fact_trips",
         "q1_last_month": f"""select d.year, d.month, count(*) as total_trips,
             {_av("f.fare_amount")} as avg_fare_amount, {_av("f.total_amount")} as avg_total_amount,
@@ -630,5 +708,14 @@ def oracle_sql() -> dict[str, str]:
                 (select 1 from dim_zone n where n.zone_key + 20 = o.zone_key)
             union all select zone_key + 20, "Borough", "Zone" from dim_zone""",
     }
+    # The same questions, answered another way.
+    texts |= {
+        "q1_from_dates": texts["q1_last_month"],
+        "split_counts_while_writing": texts["split_counts"],
+        "vw_monthly_summary_kept": texts["vw_monthly_summary"],
+        "vw_zone_revenue_kept": texts["vw_zone_revenue"],
+        "quarter_from_dates": f"""select * from ({texts["vw_monthly_summary"]}) s
+            where year = {YEAR} and month between 4 and 6""",
+    }
     own = {name: PREFIX + text for name, text in texts.items()}
     return own | (llm.oracle_sql() if llm else {})

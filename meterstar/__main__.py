@@ -10,6 +10,7 @@ import sys
 from pyspark.errors import AnalysisException
 
 from meterstar.plans.etl import run_files, run_tables
+from meterstar.plans.increment import load_new_files
 from meterstar.plans.reports import preview, warehouse_report
 from meterstar.session import build_session
 from meterstar.sinks.connector import copy_star, snowflake_options
@@ -20,7 +21,14 @@ def _etl(args: argparse.Namespace) -> int:
     spark = build_session("meterstar-etl")
     try:
         options = dict(composed=args.composed_reasons, already_by_month=args.already_by_month)
-        if args.tables:
+        if args.new_files:
+            result = load_new_files(
+                spark, args.raw, args.zones, args.warehouse, args.quarantine, args.composed_reasons
+            )
+            if result is None:
+                print("no new files")
+                return 0
+        elif args.tables:
             options["stage"] = args.stage or True
             result = run_tables(spark, args.tables, args.warehouse, args.quarantine, **options)
         else:
@@ -33,6 +41,7 @@ def _etl(args: argparse.Namespace) -> int:
             print(name)
             preview(rows, rows.columns[0]).show(truncate=False)
         result.quality.show()
+        result.nulls.show(truncate=False)
         print("copied:", ", ".join(copied) or "nothing, no credentials")
     except (AnalysisException, ValueError) as error:
         print(f"cannot run on {args.raw or args.tables}: {error}", file=sys.stderr)
@@ -63,12 +72,14 @@ def main(argv: list[str] | None = None) -> int:
 
     etl = commands.add_parser("etl", help="raw trip files to warehouse and quarantine")
     source = etl.add_mutually_exclusive_group(required=True)
-    source.add_argument("--raw", nargs="+", help="globs, one per file schema")
+    source.add_argument("--raw", nargs="+", help="globs or folders of files")
     source.add_argument("--tables", help="folder of order-line tables, instead of files")
     etl.add_argument("--zones", default="zones.csv", help="zone lookup CSV; may be missing")
     etl.add_argument("--stage", help="folder in which raw trips are kept for both outputs")
     etl.add_argument("--warehouse", required=True)
     etl.add_argument("--quarantine", required=True)
+    etl.add_argument("--new-files", action="store_true",
+                     help="load only the --raw files that the warehouse has not seen")
     etl.add_argument("--composed-reasons", action="store_true")
     etl.add_argument("--already-by-month", action="store_true")
     etl.set_defaults(run=_etl)
@@ -78,6 +89,8 @@ def main(argv: list[str] | None = None) -> int:
     report.set_defaults(run=_report)
 
     args = parser.parse_args(argv)
+    if getattr(args, "new_files", False) and not args.raw:
+        parser.error("--new-files goes with --raw")
     return args.run(args)
 
 

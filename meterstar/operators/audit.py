@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterstar.operators.star import ROW_BITS
 from meterstar.schemas import FACT_PARTITIONS
+from meterstar.scratch import staged
 
 # Warehouse type of each Spark type; any other is FALLBACK_TYPE.
 WAREHOUSE_TYPES = {
@@ -83,6 +85,52 @@ def primary_key_audit(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) ->
     return reduce(DataFrame.unionByName, audits)
 
 
+def id_runs(fact: DataFrame) -> DataFrame:
+    """Per file of a written fact and block of ids: block, file, low, high, `rows`, `steady`.
+
+    A block is what one writing task gave out. `steady` says that the ids go up by one from row
+    to row of the file, so that they differ, and are all of low to high. One narrow pass that
+    shuffles a row for each file and block.
+    """
+    row = F.col("trip_id") - F.col("_metadata.row_index")
+    block = F.shiftright("trip_id", ROW_BITS).alias("block")
+    return fact.groupBy(block, F.col("_metadata.file_path").alias("file")).agg(
+        F.min("trip_id").alias("low"),
+        F.max("trip_id").alias("high"),
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.min(row) == F.max(row), F.lit(False)).alias("steady"),
+    )
+
+
+def doubtful_blocks(runs: DataFrame) -> DataFrame:
+    """The blocks whose ids `runs` does not prove to differ: a file's ids are not steady, or
+    the intervals of two files overlap. Blocks never share an id with each other.
+
+    The sweep goes over the files of a block, in the order of their lowest ids.
+    """
+    before = Window.partitionBy("block").orderBy("low", "high", "file").rowsBetween(Window.unboundedPreceding, -1)
+    overlaps = F.coalesce(F.col("low") <= F.max("high").over(before), F.lit(False))
+    doubtful = runs.withColumn("overlaps", overlaps).filter(
+        F.col("overlaps") | ~F.col("steady") | F.col("block").isNull()
+    )
+    return doubtful.select("block").distinct()
+
+
+def duplicate_ids(fact: DataFrame) -> DataFrame:
+    """`duplicate_keys` of a written fact's trip ids, from intervals of ids.
+
+    Only the blocks that intervals cannot clear are counted id by id; in a fact whose files are
+    as their tasks wrote them there are none, and no id is shuffled. A month that was rewritten
+    with older trips in it is counted.
+    """
+    doubtful = staged(doubtful_blocks(id_runs(fact)), "doubtful-blocks")
+    ids = fact.select("trip_id")
+    if doubtful.isEmpty():
+        return duplicate_keys(ids.limit(0), ["trip_id"])
+    own = F.shiftright("trip_id", ROW_BITS).eqNullSafe(F.col("block"))
+    return duplicate_keys(ids.join(doubtful, own, "left_semi"), ["trip_id"])
+
+
 def orphan_keys(rows: DataFrame, column: str, dim: DataFrame, key: str) -> DataFrame:
     """Foreign-key values without a dimension row, with their row count.
 
@@ -158,8 +206,8 @@ def null_audit(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _integer_range(bits: int) -> str:
-    return f"between {-(2 ** (bits - 1))} and {2 ** (bits - 1) - 1}"
+def _integer_range(bits: int) -> tuple[int, int]:
+    return -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
 
 
 # Whole numbers a declared integer type holds.
@@ -177,7 +225,8 @@ def _fit(field: T.StructField, declared: str | None = None) -> dict:
     """Warehouse type of a column and the aggregates that measure and test it.
 
     A declared DECIMAL(p,s) is tested for digits before the point and after it; one that
-    nobody declared is measured against MONEY_TYPE's size alone.
+    nobody declared is measured against MONEY_TYPE's size alone. NaN and infinity fit no
+    exact type, and neither does a value that no decimal(38,10) holds.
     """
     column = F.col(field.name)
     no_length, no_size = F.lit(None).cast("bigint"), F.lit(None).cast("double")
@@ -187,18 +236,23 @@ def _fit(field: T.StructField, declared: str | None = None) -> dict:
     base, _, sizes = kind.rstrip(")").partition("(")
     if base == "DECIMAL":
         digits, places = map(int, sizes.split(","))
-        exact = column.cast("decimal(30,10)")
-        bad = F.abs(exact) >= F.lit(10 ** (digits - places)).cast("decimal(20,0)")
+        exact = column.try_cast("decimal(38,10)")
+        bad = F.abs(exact) >= F.lit(10 ** (digits - places)).cast("decimal(28,0)")
         if declared:
             bad = bad | (exact != F.round(exact, places))
-        length, fits = no_length, F.count_if(bad) == 0
+        lost = column.isNotNull() & exact.isNull()
+        length, fits = no_length, F.count_if(lost | bad) == 0
     elif base == "VARCHAR":
         length = F.max(F.length(column.cast("string"))).cast("bigint")
         fits = F.coalesce(length <= int(sizes), F.lit(True))
         size = no_size
     elif base in RANGES and numeric:
-        whole = F.expr(f"`{field.name}` {RANGES[base]} and `{field.name}` = floor(`{field.name}`)")
-        length, fits = no_length, F.count_if(~whole) == 0
+        value, (least, most) = column, RANGES[base]
+        if isinstance(field.dataType, T.FractionalType):
+            # NaN and infinity have no decimal; nor does what is far out of any range.
+            value = column.try_cast("decimal(38,10)")
+        whole = value.between(F.lit(least), F.lit(most)) & (value == F.floor(value))
+        length, fits = no_length, F.count_if(column.isNotNull() & ~F.coalesce(whole, F.lit(False))) == 0
     else:
         expected = {"DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp"}
         same = not declared or expected.get(base) == field.dataType.typeName()

@@ -131,9 +131,11 @@ def with_trip_id(fact: DataFrame, block: int = 0) -> DataFrame:
     """Add the surrogate key: unique, but neither dense nor the same in every run.
 
     A later load into the same fact starts at its `next_block`, so ids stay unique over
-    loads, until 2**30 tasks have written.
+    loads, until 2**30 tasks have written. Rows that have a `trip_id` keep it.
     """
     key = F.monotonically_increasing_id() + F.lit(block << ROW_BITS)
+    if "trip_id" in fact.columns:
+        key = F.coalesce("trip_id", key)
     return fact.withColumn("trip_id", key).select(*FACT_COLUMNS)
 
 

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterstar.operators import quality
+from meterstar.operators.audit import NOT_NULL
 from meterstar.operators.derive import derive_trips
 from meterstar.operators.star import fact_measures
+from meterstar.sinks.loads import forget_loads
+from meterstar.sinks.metrics import WriteMetrics, null_audit, split_counts
 from meterstar.sinks.warehouse import write_quarantine, write_star, write_table
 from meterstar.scratch import staged
 from meterstar.sources.tables import nation_zones, order_line_trips
@@ -19,9 +22,12 @@ from meterstar.sources.warehouse import Star
 
 @dataclass(frozen=True)
 class EtlResult:
+    """The written tables, the quality report, and the nulls of the fact's declared columns."""
+
     star: Star
     set_aside: DataFrame
     quality: DataFrame
+    nulls: DataFrame
 
 
 def written_counts(fact: DataFrame, set_aside: DataFrame) -> DataFrame:
@@ -47,16 +53,23 @@ def load_star(
     root: str,
     zones: DataFrame | None = None,
     already_by_month: bool = False,
+    metrics: WriteMetrics | None = None,
 ) -> Star:
     """Derive, keep the valid trips and write the star."""
     valid = quality.valid_trips(derive_trips(raw))
-    return write_star(fact_measures(valid), root, zones, already_by_month)
+    return write_star(fact_measures(valid), root, zones, already_by_month, metrics)
 
 
-def load_quarantine(raw: DataFrame, path: str, composed: bool = False) -> DataFrame:
+def load_quarantine(
+    raw: DataFrame,
+    path: str,
+    composed: bool = False,
+    load: int | None = None,
+    metrics: WriteMetrics | None = None,
+) -> DataFrame:
     """Derive, keep the other trips and write them; returned read back."""
     rows = quality.set_aside(derive_trips(raw), composed)
-    write_quarantine(rows, path)
+    write_quarantine(rows, path, load, metrics)
     return raw.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -81,10 +94,25 @@ def run(
     elif stage:
         write_table(raw, stage)
         raw = raw.sparkSession.read.schema(raw.schema).parquet(stage)
-    star = load_star(raw, warehouse, zones, already_by_month)
-    set_aside = load_quarantine(raw, quarantine, composed)
-    counts = written_counts(star.fact, set_aside)
-    return EtlResult(star, set_aside, quality.quality_report(counts))
+    of_fact, of_others = fact_metrics(), WriteMetrics(outcomes=True)
+    star = load_star(raw, warehouse, zones, already_by_month, of_fact)
+    set_aside = load_quarantine(raw, quarantine, composed, metrics=of_others)
+    forget_loads(raw.sparkSession, warehouse)
+    return result_of(star, set_aside, of_fact, of_others)
+
+
+def fact_metrics() -> WriteMetrics:
+    """Metrics of the fact's declared columns; the key is given by the write itself."""
+    return WriteMetrics([c for c in NOT_NULL["fact_trips"] if c != "trip_id"])
+
+
+def result_of(
+    star: Star, set_aside: DataFrame, of_fact: WriteMetrics, of_others: WriteMetrics
+) -> EtlResult:
+    """The result of two writes; its counts were taken while they wrote."""
+    spark = star.fact.sparkSession
+    counts = split_counts(spark, of_fact, of_others)
+    return EtlResult(star, set_aside, quality.quality_report(counts), null_audit(spark, of_fact))
 
 
 def run_files(

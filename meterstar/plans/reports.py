@@ -9,6 +9,7 @@ dimension only if its size is below the session's threshold.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from meterstar.functions import expressions as X
 from meterstar.operators.median import bucket_of, locate_middle, read_middle
 from meterstar.operators.rollup import merge, top, totals
 from meterstar.operators.star import build_dim_geography
+from meterstar.schemas import FACT_PARTITIONS
 
 ZONE = ("zone_name", "borough")
 
@@ -78,6 +80,15 @@ def _of_month(fact, dim_date, year: Column, month: Column):
     )
 
 
+def in_months(months: list[tuple[int, int]]) -> Column:
+    """Whether a fact row is of one of the months; the scan skips the others' folders."""
+    out = F.lit(False)
+    for year in sorted({y for y, _ in months}):
+        own = [m for y, m in months if y == year]
+        out = out | ((F.col("pickup_year") == year) & F.col("pickup_month").isin(own))
+    return out
+
+
 # -- warehouse queries ---------------------------------------------------------
 
 
@@ -88,7 +99,11 @@ def last_month(
     start = X.previous_month(X.date_column(as_of))
     rows, dates = _of_month(fact, dim_date, F.year(start), F.month(start))
     measures = ["fare_amount", "total_amount", "tip_amount"]
-    return _by_date(rows, dates, measures, ["year", "month"]).select(
+    return last_month_columns(_by_date(rows, dates, measures, ["year", "month"]))
+
+
+def last_month_columns(parts: DataFrame) -> DataFrame:
+    return parts.select(
         "year",
         "month",
         F.col("trips").alias("total_trips"),
@@ -204,12 +219,53 @@ def payment_mix(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
     )
 
 
+def of_dates(
+    fact: DataFrame, dates: DataFrame, measures: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """Totals per `keys` (columns of the date dimension) of the trips on `dates`.
+
+    Whatever `dates` was filtered by, the join on year and month as well as on the date lets
+    Spark read the months that are left of it at run time, and prune the fact's folders by
+    them; no query has to repeat its condition on the fact's partition columns.
+    """
+    parts = totals(fact, [*FACT_PARTITIONS, "pickup_date_key"], measures)
+    same_day = (
+        (F.col("pickup_date_key") == F.col("date_key"))
+        & (F.col("pickup_year") == F.col("year"))
+        & (F.col("pickup_month") == F.col("month"))
+    )
+    return merge(parts.join(dates, same_day), keys, measures)
+
+
+def last_month_of_dates(
+    fact: DataFrame, dim_date: DataFrame, as_of: Column | dt.date | str | None = None
+) -> DataFrame:
+    """`last_month` with the month asked of the date dimension alone."""
+    start = X.previous_month(X.date_column(as_of))
+    dates = dim_date.filter((F.col("year") == F.year(start)) & (F.col("month") == F.month(start)))
+    measures = ["fare_amount", "total_amount", "tip_amount"]
+    return last_month_columns(of_dates(fact, dates, measures, ["year", "month"]))
+
+
+def quarter_summary(fact: DataFrame, dim_date: DataFrame, year: int, quarter: int) -> DataFrame:
+    """The monthly summary of one quarter, which only the date dimension knows."""
+    dates = dim_date.filter((F.col("year") == year) & (F.col("quarter") == quarter))
+    return summary_columns(of_dates(fact, dates, SUMMARY_MEASURES, ["year", "month"]))
+
+
 # -- views (unordered; the reader sorts) ---------------------------------------
 
 
+SUMMARY_MEASURES = ["fare_amount", "trip_distance", "trip_duration"]
+
+
 def monthly_summary(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    measures = ["fare_amount", "trip_distance", "trip_duration"]
-    return _by_date(fact, dim_date, measures, ["year", "month"]).select(
+    return summary_columns(_by_date(fact, dim_date, SUMMARY_MEASURES, ["year", "month"]))
+
+
+def summary_columns(parts: DataFrame) -> DataFrame:
+    """The monthly summary of totals per year and month."""
+    return parts.select(
         "year",
         "month",
         F.col("trips").alias("total_trips"),
@@ -221,7 +277,12 @@ def monthly_summary(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def zone_revenue(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
-    return _by_zone(fact, dim_zone, ["fare_amount"]).select(
+    return revenue_columns(_by_zone(fact, dim_zone, ["fare_amount"]))
+
+
+def revenue_columns(parts: DataFrame) -> DataFrame:
+    """The revenue view of totals per zone name and borough."""
+    return parts.select(
         *ZONE,
         F.col("trips").alias("total_trips"),
         _sum("fare_amount", "total_revenue"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+from pyspark.sql import DataFrame
+
+from meterstar.sinks.swap import NEXT, recover_table, swap_in
 from meterstar.sources.warehouse import Star
 
 # Account suffix, option names and placeholder settings of the connector.
@@ -41,19 +44,46 @@ def copy_star(
     options: Mapping[str, str] | None,
     fmt: str = "snowflake",
     target: str = "dbtable",
+    switch: Callable[[str, str], None] | None = None,
 ) -> list[str]:
-    """Overwrite each table of a written star at the target; return the names copied.
+    """Replace each table of a written star at the target; return the names copied.
+
+    `target` is the option that names the table: `dbtable` for database connectors, `path` for
+    file formats, where a `root` option gives the parent folder.
 
-    `target` is the option that names the table: `dbtable` for database connectors,
-    `path` for file formats, where a `root` option gives the parent folder.
+    The copy has two phases. All tables go to side names, `<name>_next`; only when the last one
+    is there does each take its own name. So a table that fails leaves the target as it was, and
+    the copy can be repeated. At a folder the second phase renames, and a copy that died in it is
+    finished by the next one (`sinks.swap`). For a database, `switch(side name, name)` has to put
+    the side table in the other's place; without it, the second phase overwrites table by table.
     """
     if options is None:
         return []
-    root = options.get("root")
+    spark, root = star.fact.sparkSession, options.get("root")
     shared = {k: v for k, v in options.items() if k != "root"}
-    copied = []
-    for name, rows in star.tables().items():
-        place = f"{root.rstrip('/')}/{name}" if root else name
+    tables = star.tables()
+    places = {name: f"{root.rstrip('/')}/{name}" if root else name for name in tables}
+
+    def write(rows: DataFrame, place: str) -> None:
         rows.write.format(fmt).options(**shared, **{target: place}).mode("overwrite").save()
-        copied.append(name)
-    return copied
+
+    def recover() -> None:
+        for place in places.values() if root else ():
+            recover_table(spark, place)
+
+    recover()
+    if root or switch:
+        try:
+            for name, rows in tables.items():
+                write(rows, places[name] + NEXT)
+        except BaseException:
+            recover()
+            raise
+    for name, rows in tables.items():
+        if root:
+            swap_in(spark, places[name])
+        elif switch:
+            switch(places[name] + NEXT, places[name])
+        else:
+            write(rows, places[name])
+    return list(tables)

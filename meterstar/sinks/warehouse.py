@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterstar.operators.quality import REJECTED
 from meterstar.operators.star import (
@@ -13,7 +14,17 @@ from meterstar.operators.star import (
     with_trip_id,
 )
 from meterstar.schemas import FACT_PARTITIONS
-from meterstar.sources.warehouse import Star, read_star, read_table, table_path
+from meterstar.sinks.metrics import WriteMetrics
+from meterstar.sinks.swap import (
+    NEXT,
+    PARTS,
+    recover_parts,
+    recover_table,
+    remove_folder,
+    swap_in,
+    swap_parts,
+)
+from meterstar.sources.warehouse import TABLES, Star, read_star, read_table, table_path
 
 
 def write_table(rows: DataFrame, path: str) -> None:
@@ -24,31 +35,21 @@ def write_table(rows: DataFrame, path: str) -> None:
 def replace_table(rows: DataFrame, root: str, name: str) -> DataFrame:
     """Replace a warehouse table by rows that may be computed from it.
 
-    The rows are written to a folder beside the table, which then takes the table's
-    name; the old folder goes last. The table is missing only between two renames, and a
-    run that dies there leaves both complete copies, `<name>_old` and `<name>_next`.
+    The rows are written beside the table and swapped in (see `sinks.swap`): readers find the
+    old rows until the new ones are complete, and a run that dies at any step loses neither.
     """
-    spark = rows.sparkSession
-    table, fresh, old = (table_path(root, n) for n in (name, f"{name}_next", f"{name}_old"))
-    remove_folder(spark, old)
-    write_table(rows, fresh)
-    files, path = _files(spark, table)
-    if files.exists(path(table)):
-        files.rename(path(table), path(old))
-    files.rename(path(fresh), path(table))
-    remove_folder(spark, old)
-    return read_table(spark, root, name)
-
-
-def _files(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
+    spark, table = rows.sparkSession, table_path(root, name)
+    recover_table(spark, table)
+    write_table(rows, table + NEXT)
+    swap_in(spark, table)
+    return read_table(spark, root, name, rows.schema)
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a folder if it is there."""
-    files, path = _files(spark, folder)
-    files.delete(path(folder), True)
+def recover_warehouse(spark: SparkSession, root: str) -> None:
+    """Bring every table that a dead run left between two folders back under its name."""
+    for name in TABLES:
+        recover_table(spark, table_path(root, name))
+    recover_parts(spark, table_path(root, "fact_trips"))
 
 
 def _first_block(spark: SparkSession, path: str) -> int:
@@ -66,6 +67,8 @@ def write_fact(
     path: str,
     months_only: bool = False,
     already_by_month: bool = False,
+    block: int | None = None,
+    metrics: WriteMetrics | None = None,
 ) -> None:
     """Write the fact in year and month folders, sorted by date inside each file.
 
@@ -73,29 +76,49 @@ def write_fact(
     large month over as many tasks as its bytes need, so neither tiny files nor a
     one-task month arise. `already_by_month` skips that shuffle for input whose
     files already follow the months. Ids are given after the shuffle, by the tasks
-    that write: a repeated upstream task then cannot give out an id twice.
+    that write: a repeated upstream task then cannot give out an id twice. `metrics` are
+    taken there, too.
 
-    `months_only` replaces only the months present in `measures`; ids then start above
-    all that the fact at `path` has, which one pass over its ids finds.
+    `months_only` replaces only the months present in `measures`, which may be computed from
+    the fact itself: they are written beside it and swapped in one by one, and a run that died
+    in between goes on where it stopped (`sinks.swap`). Ids then start at the task number
+    `block`, by default above all that the fact at `path` has, which one pass over its ids finds.
     """
-    block = _first_block(measures.sparkSession, path) if months_only else 0
+    spark = measures.sparkSession
+    if months_only:
+        recover_parts(spark, path)
+        block = _first_block(spark, path) if block is None else block
     rows = measures if already_by_month else measures.hint("rebalance", *FACT_PARTITIONS)
+    if metrics is not None:
+        rows = metrics.observe(rows)
     rows = rows.sortWithinPartitions(*FACT_PARTITIONS, "pickup_date_key")
     (
-        with_trip_id(rows, block)
+        with_trip_id(rows, block or 0)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if months_only else "static")
         .partitionBy(*FACT_PARTITIONS)
-        .parquet(path)
+        .parquet(path + PARTS if months_only else path)
     )
+    if months_only:
+        swap_parts(spark, path)
 
 
-def write_quarantine(set_aside: DataFrame, path: str) -> None:
-    """Write trips that are not valid, in one folder per outcome."""
+def write_quarantine(
+    set_aside: DataFrame, path: str, load: int | None = None, metrics: WriteMetrics | None = None
+) -> None:
+    """Write trips that are not valid, in one folder per outcome.
+
+    With a `load`, in one per outcome and load, and those of other loads stay.
+    """
+    rows, folders = set_aside, ["outcome"]
+    if load is not None:
+        rows, folders = rows.withColumn("load", F.lit(load)), ["outcome", "load"]
+    rows = rows.hint("rebalance", "outcome")
+    if metrics is not None:
+        rows = metrics.observe(rows)
     (
-        set_aside.hint("rebalance", "outcome")
-        .write.mode("overwrite")
-        .partitionBy("outcome")
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if load is None else "dynamic")
+        .partitionBy(*folders)
         .parquet(path)
     )
 
@@ -110,23 +133,29 @@ def write_star(
     root: str,
     zones: DataFrame | None = None,
     already_by_month: bool = False,
+    metrics: WriteMetrics | None = None,
 ) -> Star:
     """Write fact and dimensions, and return them read back.
 
     The fact is written first; the date and payment dimensions come from the
     written copy, so the raw data are read once for the whole star and every later
-    reader sees the same trip ids. Without `zones`, a zone table of an earlier run is
-    removed: the warehouse holds what this run wrote, nothing older.
+    reader sees the same trip ids. Every table is written beside the one it replaces and
+    swapped in when all of them are complete. Without `zones`, a zone table of an earlier
+    run is removed: the warehouse holds what this run wrote, nothing older.
     """
     spark = measures.sparkSession
-    fact_path = table_path(root, "fact_trips")
-    write_fact(measures, fact_path, already_by_month=already_by_month)
+    recover_warehouse(spark, root)
+    fresh = table_path(root, "fact_trips") + NEXT
+    write_fact(measures, fresh, already_by_month=already_by_month, metrics=metrics)
     # The schema is stated, so an empty fact reads back as well.
-    fact = spark.read.schema(with_trip_id(measures).schema).parquet(fact_path)
-    write_table(dim_date_of_fact(fact), table_path(root, "dim_date"))
-    write_table(dim_payment_of_fact(fact), table_path(root, "dim_payment"))
+    fact = spark.read.schema(with_trip_id(measures).schema).parquet(fresh)
+    tables = {"dim_date": dim_date_of_fact(fact), "dim_payment": dim_payment_of_fact(fact)}
     if zones is not None:
-        write_table(zones, table_path(root, "dim_zone"))
-    else:
+        tables["dim_zone"] = zones
+    for name, rows in tables.items():
+        write_table(rows, table_path(root, name) + NEXT)
+    for name in (*tables, "fact_trips"):
+        swap_in(spark, table_path(root, name))
+    if zones is None:
         remove_folder(spark, table_path(root, "dim_zone"))
     return read_star(spark, root, {"fact_trips": fact.schema})

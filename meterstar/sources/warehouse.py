@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+TABLES = ("dim_date", "dim_payment", "dim_zone", "fact_trips")
+
+
 @dataclass(frozen=True)
 class Star:
     fact: DataFrame
