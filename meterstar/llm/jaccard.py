@@ -3,10 +3,12 @@
 Documents with equal n-gram sets are one class and are joined without comparison. Classes
 are then blocked. Two sets of at least 90 % Jaccard similarity differ in at most
 k = |smaller| / 9 elements (for 90 %). The n-gram universe is cut by hash into m > k parts;
-at most k parts can differ, so among the k + 1 parts of either set that come first in one
-fixed order of parts, at least one is the same in both. The order takes parts with most
-n-grams first. Classes that share such a part are candidates, and so are, transitively, all
-classes of one connected component of candidates: no link leaves it.
+at most k parts can differ. In one order of all contents of parts, the first one that both
+sets have is therefore among the first k + 1 of either. The order takes contents that the
+fewest classes have first, so that the parts of a passage that many texts share come last:
+they count only for texts that are little else. Classes that share such a part are candidates,
+and so are, transitively, all classes of one connected component of candidates: no link
+leaves it.
 
 Within a component, classes are dealt by set size and by hash into slots of bounded size.
 A cell is a pair of slots whose sizes can link; its task multiplies the two incidence
@@ -23,16 +25,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import importable, in_tasks, over_texts
+from meterstar.llm.common import free_name, importable, in_tasks, over_texts
 from meterstar.llm.components import components, forest
 from meterstar.scratch import staged
 
 N = 3
 PERCENT = 90
 PART_RATIO = 1.4  # parts per part that is used
+FREQUENT = 64  # classes; contents of parts that more have are one step of the order
 GROUP_RATIO = 1.2  # sizes of one group of sets
 SLOT_DOCUMENTS, SLOT_GRAMS = 512, 300_000
 COLUMN_BLOCK = 4096
@@ -87,13 +90,17 @@ def size_groups(percent: int, largest: int = 2**31) -> np.ndarray:
     return np.array(starts, np.int64)
 
 
-def signatures(grams: np.ndarray, groups: np.ndarray, percent: int) -> np.ndarray:
-    """The hashes of the parts of a set that come first, for each group it can link in."""
+def signatures(grams: np.ndarray, groups: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the parts of a set, for each group it can link in; and to each, by group,
+    how many that come last in the order of contents are not needed.
+
+    Empty parts are last in that order, and so the first not to be needed; they are left out.
+    """
     size = len(grams)
     least = -(-size * percent // 100)
     low = max(int(np.searchsorted(groups, least, "right")) - 1, 0)
     high = int(np.searchsorted(groups, size, "right")) - 1
-    out = []
+    marks, places = [np.empty(0, U)], [np.empty(0, np.int32)]
     for g in range(low, high + 1):
         used = differences(int(groups[g + 1]) - 1, percent) + 1
         parts = math.ceil(PART_RATIO * used)
@@ -105,8 +112,12 @@ def signatures(grams: np.ndarray, groups: np.ndarray, percent: int) -> np.ndarra
         sums = total[ends[1:]] - total[ends[:-1]]
         place = np.arange(parts, dtype=U) + U(g << 32)
         mark = mixed(sums + mixed(place * FACTORS[0] + sizes.astype(U)))
-        out.append(mark[np.lexsort((mark, -sizes))[:used]])
-    return np.concatenate(out) if out else np.empty(0, U)
+        empty = np.sort(mark[sizes == 0])
+        spare = parts - used
+        own = np.concatenate([mark[sizes > 0], empty[: max(len(empty) - spare, 0)]])
+        marks.append(own)
+        places.append(np.full(len(own), (g << 24) + max(spare - len(empty), 0), np.int32))
+    return np.concatenate(marks), np.concatenate(places)
 
 
 def described(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
@@ -144,13 +155,15 @@ def key_of(name: bytes) -> int:
 
 
 def marked(docs: DataFrame, percent: int, n: int) -> DataFrame:
-    """(mark, key) of every part that comes first in a class; of classes that a task meets
-    again, once."""
+    """(mark, key, place) of every part of a class; of classes that a task meets again, once.
+
+    `place` has the group of sizes and the number of parts not needed in it.
+    """
     def make():
         hashes, groups, seen = WordHashes(), size_groups(percent), set()
 
         def mark(batch: pa.RecordBatch) -> dict:
-            keys, marks = [], []
+            keys, marks, places = [], [], []
             for text in batch.column(1).to_pylist():
                 grams = gram_set(text, hashes, n)
                 name = class_of(grams)
@@ -159,14 +172,88 @@ def marked(docs: DataFrame, percent: int, n: int) -> DataFrame:
                 if len(seen) >= CACHED_WORDS:
                     seen.clear()
                 seen.add(name)
-                own = signatures(grams, groups, percent).view(np.int64)
-                marks.append(own)
+                own, place = signatures(grams, groups, percent)
+                marks.append(own.view(np.int64))
+                places.append(place)
                 keys.append(np.full(len(own), key_of(name), np.int64))
-            return {"mark": np.concatenate(marks), "key": np.concatenate(keys)} if marks else {}
+            if not marks:
+                return {}
+            return {"mark": np.concatenate(marks), "key": np.concatenate(keys), "place": np.concatenate(places)}
 
         return mark
 
-    return over_texts(docs, "text", "mark bigint, key bigint", make)
+    return over_texts(docs, "text", "mark bigint, key bigint, place int", make)
+
+
+def shared_marks(marks: DataFrame) -> DataFrame:
+    """(mark, key, place, classes) of the marks that two classes have at least; `classes` is
+    how many have it, FREQUENT at most.
+
+    One shuffle of the marks, sorted within partitions; equal marks then stand in a row. Of a
+    row, no more than a batch and FREQUENT keys is held, however many classes share the mark.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, flooded, last = None, None, None  # the latest mark's rows; it, once it is frequent; its latest key
+
+        def rows_of(columns, classes) -> pa.RecordBatch:
+            names = ["mark", "key", "place", "classes"]
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(classes.astype(np.int32))], names=names)
+
+        for batch in _then_none(batches):
+            if batch is None:
+                if kept is None or not len(kept[0]):
+                    return
+                columns, end = kept, len(kept[0])
+            else:
+                if not batch.num_rows:
+                    continue
+                columns = [c.to_numpy() for c in batch.columns]
+                new = np.ones(len(columns[0]), bool)
+                new[1:] = (np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)
+                new[0] = last != (columns[0][0], columns[1][0])
+                last = columns[0][-1], columns[1][-1]
+                columns = [c[new] for c in columns]
+                if kept is not None:
+                    columns = [np.concatenate(both) for both in zip(kept, columns)]
+                if not len(columns[0]):
+                    continue
+                end = int(np.searchsorted(columns[0], columns[0][-1]))
+            mark = columns[0][:end]
+            first = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]])) if end else np.empty(0, int)
+            counts = np.diff(np.append(first, end))
+            counts[mark[first] == flooded] = FREQUENT
+            classes = np.minimum(np.repeat(counts, np.diff(np.append(first, end))), FREQUENT)
+            some = classes > 1
+            if some.any():
+                yield rows_of([c[:end][some] for c in columns], classes[some])
+            kept = [c[end:] for c in columns]
+            if len(kept[0]) and (len(kept[0]) >= FREQUENT or kept[0][0] == flooded):
+                flooded = kept[0][0]
+                yield rows_of(kept, np.full(len(kept[0]), FREQUENT))
+                kept = [c[:0] for c in kept]
+
+    dealt = marks.repartition("mark").sortWithinPartitions("mark", "key")
+    return in_tasks(dealt, run, "mark bigint, key bigint, place int, classes int")
+
+
+def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def needed_marks(shared: DataFrame) -> DataFrame:
+    """(mark, key) of the marks among those of a class and group that come first in the order.
+
+    Marks of one class alone come first of all, so what is not needed lies among the shared.
+    """
+    own = Window.partitionBy("key", "place")
+    ranked = shared.select(
+        "mark", "key",
+        F.row_number().over(own.orderBy("classes", "mark")).alias("rank"),
+        F.count(F.lit(1)).over(own).alias("all"),
+        F.col("place").bitwiseAND(F.lit((1 << 24) - 1)).alias("spare"),
+    )
+    return ranked.filter("rank <= all - spare").select("mark", "key")
 
 
 def candidate_edges(marks: DataFrame) -> DataFrame:
@@ -321,7 +408,8 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
                        F.xxhash64(text_column).alias("mark"))
     table = staged(described(docs, percent, n), "sets")
-    candidates = components(candidate_edges(marked(docs, percent, n)))
+    shared = staged(shared_marks(marked(docs, percent, n)), "shared")
+    candidates = components(candidate_edges(needed_marks(shared)))
     candidates = candidates.withColumnRenamed("node", "key")
 
     classes = staged(
@@ -402,14 +490,19 @@ def distinct_documents(docs: DataFrame, id_column: str = "doc_id", text_column:
     joined = staged(join_documents(plain, "id", "text", percent, n).select("id", "component_id"),
                     "joined")
     # The rows that go are fewer than those that stay, and only their names are needed.
-    gone = joined.filter("id <> component_id").select(F.col("id").alias("_gone")).distinct()
+    name, other = free_name(docs, "_name"), free_name(docs, "_other")
+    gone = joined.filter("id <> component_id").select(F.col("id").alias(other)).distinct()
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    kept = docs.join(gone, named.eqNullSafe(F.col("_gone")), "left_anti")
-    again = joined.groupBy(F.col("id").alias("_again")).count().filter("count > 1").select("_again")
+    kept = docs.join(gone, named.eqNullSafe(F.col(other)), "left_anti")
+    again = joined.groupBy(F.col("id").alias(other)).count().filter("count > 1").select(other)
     again = staged(again, "repeated")
     if again.isEmpty():
         return kept
-    twice = named.eqNullSafe(F.col("_again"))
-    once = kept.join(again, twice, "left_semi").withColumn("_name", named)
-    once = once.dropDuplicates(["_name"]).drop("_name")
+    twice = named.eqNullSafe(F.col(other))
+    # Of rows alike in id and text, the one whose other columns sort first.
+    rank = free_name(docs, "_rank")
+    rest = [F.col(c) for c in docs.columns if c not in (id_column, text_column)]
+    first = Window.partitionBy(name).orderBy(*rest) if rest else Window.partitionBy(name).orderBy(name)
+    once = kept.join(again, twice, "left_semi").withColumn(name, named)
+    once = once.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(name, rank)
     return kept.join(again, twice, "left_anti").unionByName(once)

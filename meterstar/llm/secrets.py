@@ -386,8 +386,6 @@ def _blobs(layer: Layer, visit: Visit) -> Iterator[Layer]:
             visit.unread.append(Layer("", layer, "", 0, [0], [(a, b)], [False]).original(0, 1))
 
     for run, a, b, wrapped in _runs(layer.text):
-        if run.isalpha() and (run.islower() or run.isupper()):
-            continue
         i = bisect.bisect_right(read, (a, len(layer.text))) - 1
         if i >= 0 and b <= read[i][1]:
             continue

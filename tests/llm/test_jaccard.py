@@ -95,11 +95,21 @@ def test_linked_pairs_of_a_cell(monkeypatch):
         assert set(zip(i.tolist(), j.tolist())) == want and len(i) == len(want)
 
 
-def test_linked_sets_share_a_signature():
+def needed(grams, groups, percent, classes):
+    """The marks of a set that come first, by group, in an order that `classes` gives."""
+    marks, places = J.signatures(grams, groups, percent)
+    out = set()
+    for place in np.unique(places):
+        own = sorted(marks[places == place].tolist(), key=lambda m: (classes(m), m))
+        out |= set(own[: len(own) - (int(place) & 0xFFFFFF)])
+    return out
+
+
+def test_linked_sets_share_a_needed_mark_in_any_order():
     rng = random.Random(14)
-    for percent in (90, 80):
+    for percent in (90, 80, 50):
         groups = J.size_groups(percent)
-        for _ in range(400):
+        for _ in range(300):
             size = rng.randint(1, 300)
             a = np.unique(J.mixed(np.array([rng.getrandbits(60) for _ in range(size)], np.uint64)))
             keep = a[np.random.default_rng(rng.getrandbits(30)).permutation(len(a))[: len(a) - rng.randint(0, len(a) // 10)]]
@@ -107,7 +117,40 @@ def test_linked_sets_share_a_signature():
             b = np.unique(np.concatenate([keep, J.mixed(new)]))
             both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
             if 100 * both >= percent * union and both < union:
-                assert set(J.signatures(a, groups, percent)) & set(J.signatures(b, groups, percent))
+                salt = rng.getrandbits(30)
+                order = lambda m: hash((m, salt)) % 7
+                assert needed(a, groups, percent, order) & needed(b, groups, percent, order)
+
+
+def test_shared_marks_are_counted_whatever_the_batches(spark, settings):
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch="50")
+    rng = random.Random(15)
+    rows = [(m, k, 5) for m in range(40) for k in range(rng.choice([1, 1, 2, 5, 63, 64, 65, 300]))]
+    rows += rng.sample(rows, 500)  # classes that several tasks met
+    df = spark.createDataFrame(rows, "mark bigint, key bigint, place int").repartition(7)
+    sizes = {}
+    for m, k, _ in set(rows):
+        sizes[m] = sizes.get(m, 0) + 1
+    want = sorted((m, k, p, min(sizes[m], J.FREQUENT)) for m, k, p in set(rows) if sizes[m] > 1)
+    assert sorted(tuple(r) for r in J.shared_marks(df).collect()) == want
+
+
+def test_texts_that_share_a_passage_are_no_candidates(spark):
+    rng = random.Random(16)
+
+    def words(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    for share, percent, n in [(0.25, 80, 5), (0.4, 80, 5), (0.5, 90, 3)]:
+        passage = words(int(400 * share))
+        texts = []
+        for _ in range(400):
+            own = words(400 - len(passage))
+            at = rng.randrange(len(own))
+            texts.append(" ".join(own[:at] + passage + own[at:]))
+        docs = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+        found = components(J.candidate_edges(J.needed_marks(J.shared_marks(J.marked(docs, percent, n)))))
+        assert found.count() <= 20, (share, percent)
 
 
 def test_components(spark):
