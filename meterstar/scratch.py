@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +21,19 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
-# The folders made by this process and not yet removed, oldest first.
-_made: list[str] = []
+# The lists that want to know of new folders, in this thread of work.
+_collecting: ContextVar[tuple[list[str], ...]] = ContextVar("collecting", default=())
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The list of folders made within the block, oldest first; others' folders are not in it."""
+    made: list[str] = []
+    token = _collecting.set((*_collecting.get(), made))
+    try:
+        yield made
+    finally:
+        _collecting.reset(token)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -30,13 +44,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(hadoop)
     files.deleteOnExit(hadoop)
-    _made.append(path)
+    for made in _collecting.get():
+        made.append(path)
     return path
 
 
-def folders() -> list[str]:
-    """The folders that are there now; what a piece of work added is the difference."""
-    return list(_made)
+def read_by(df: DataFrame, paths: list[str]) -> list[str]:
+    """Those of some folders that `df` still reads."""
+    files = df.inputFiles()
+    # Without scheme and leading slashes, which differ between the two.
+    return [p for p in paths if any(p.split(":")[-1].lstrip("/") in f for f in files)]
 
 
 def remove(spark: SparkSession, paths: list[str]) -> None:
@@ -44,8 +61,6 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-        if path in _made:
-            _made.remove(path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
