@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterstar.scratch import staged
+
 SLICE_BYTES = 2 << 20
 BATCH_BYTES = 8 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -130,3 +134,30 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def labelled_sample(docs: DataFrame, labelled: DataFrame, texts: int, by_label: bool = False,
+                    most_bytes: int | None = None) -> DataFrame:
+    """id, label, text: at most about `texts` labelled texts, or so many of either label.
+
+    `docs` has id and text, `labelled` id and label. Equal rows are one, and rows are chosen by
+    a hash of id and text, so that the bound holds however often an id or a row repeats. Texts
+    over `most_bytes` are not chosen.
+    """
+    mark = F.xxhash64("text").alias("mark")
+    rows = docs if most_bytes is None else docs.filter(F.octet_length("text") <= most_bytes)
+    rows = rows.filter("text is not null")
+    pairs = staged(rows.select("id", mark).join(labelled, "id").select("id", "mark", "label").distinct(),
+                   "labelled-pairs")
+    steps, group = 1 << 20, F.col("label") if by_label else F.lit(None)
+    sizes = {r[0]: r[1] for r in pairs.groupBy(group.alias("group")).agg(F.count(F.lit(1))).collect()}
+    if not sizes:
+        return rows.join(labelled, "id").select("id", "label", "text").limit(0)
+    place = F.pmod(F.xxhash64("id", "mark"), F.lit(steps))
+    limit = [F.lit(int(steps * min(1.0, texts / n))) for n in sizes.values()]
+    chosen = [(F.col("label") == k if by_label else F.lit(True)) & (place < at) for k, at in zip(sizes, limit)]
+    # Bounded by `texts`, so this side is small whatever the number of labels.
+    some = F.broadcast(pairs.filter(reduce(lambda a, b: a | b, chosen)))
+    return rows.select("id", "text", mark).join(some, ["id", "mark"]).groupBy("id", "mark", "label").agg(
+        F.min("text").alias("text")
+    ).select("id", "label", "text")

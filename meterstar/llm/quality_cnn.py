@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import over_texts
+from meterstar.llm.common import free_name, labelled_sample, over_texts
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE = 8, 4
@@ -168,17 +168,9 @@ def fit(docs: DataFrame, labelled: DataFrame, texts: int = SAMPLE_TEXTS,
     """A network from `docs` (id, text) and `labelled` (id, label).
 
     Learns from at most about `texts` labelled texts of at most `text_bytes` bytes, chosen by
-    a hash of the id; they are gathered on the driver, about 10 MB of them.
+    a hash of id and text; they are gathered on the driver, about 10 MB of them.
     """
-    n = labelled.count()
-    steps = 1 << 20
-    share = int(steps * min(1.0, texts / max(n, 1)))
-    chosen = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(steps)) < share)
-    # Bounded by `texts`, so this side is small whatever the labels' number.
-    rows = (
-        docs.filter(F.octet_length("text") <= text_bytes)
-        .join(F.broadcast(chosen), "id").select("id", "text", "label").collect()
-    )
+    rows = labelled_sample(docs, labelled, texts, most_bytes=text_bytes).collect()
     # The order must not depend on the order of tasks.
     rows.sort(key=lambda r: (r["id"], r["text"], r["label"]))
     return train([r["text"].encode() for r in rows], np.array([r["label"] for r in rows], np.float64))
@@ -194,7 +186,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, text_column: str = "text
     `learn_from` (a condition on the id). Null ids and other labels are not learnt from.
     With labels of one kind the score is that label, without any it is 0.5. Null and empty
     texts are one chunk of padding. Ids may repeat; other columns are kept and not looked at.
+    An empty table gives no rows. If `docs` has a column of the score's name, the new one gets
+    underscores before its own.
     """
+    score_column = free_name(docs, score_column)
     plain = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     wanted = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label"))
     wanted = wanted.filter("id is not null and label in (0, 1)")

@@ -11,6 +11,7 @@ Python workers import this module, and so not the model's libraries.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import in_tasks, over_texts
+from meterstar.llm.common import in_tasks, labelled_sample, over_texts
 from meterstar.scratch import staged
 
 # Word lists (fixed values), lower case, by class. Words that are ordinary in one of the
@@ -128,10 +129,15 @@ def features(text: str | None, stems: Stems) -> list[float]:
                 found = CLASS_OF.get(once, CLASS_OF.get(twice))
                 if found is not None:
                     masked.append((i, found))
+    starts = None
     for m in SPACED.finditer(lower):
         found = CLASS_OF.get(NOT_LETTERS.sub("", m[0]))
         if found is not None:
-            masked.append((len(TOKEN.findall(lower, 0, m.start())), found))
+            starts = starts or [t.start() for t in TOKEN.finditer(lower)]
+            # The words before it; a sign that its first letter made a word is none.
+            before = bisect.bisect_left(starts, m.start())
+            sign = before and starts[before - 1] == m.start() - 1 and lower[m.start() - 1] in "@$"
+            masked.append((before - bool(sign), found))
     every = hits + masked
     heads, size = stems.heads, STEM_LENGTHS[0]
     stemmed = [x for x in (stems.of(w) for w in words if w[:size] in heads) if x]
@@ -139,8 +145,10 @@ def features(text: str | None, stems: Stems) -> list[float]:
     person = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near = 0
     if every and person:
-        at = np.array(person)
-        near = sum(int(np.abs(at - i).min() <= NEAR) for i, _ in every)
+        at, hit = np.array(person), np.array([i for i, _ in every])
+        after = np.searchsorted(at, hit)
+        right, left = at[np.minimum(after, len(at) - 1)], at[np.maximum(after - 1, 0)]
+        near = int((np.minimum(np.abs(right - hit), np.abs(left - hit)) <= NEAR).sum())
     data = np.frombuffer(plain.encode("utf-8", "surrogatepass"), np.uint8)
     counts = np.bincount(data, minlength=256)
     capitals = int(counts[65:91].sum())
@@ -166,19 +174,9 @@ def beginnings(text: str | None) -> set[str]:
 def learn_stems(docs: DataFrame, labelled: DataFrame, texts: int = STEM_TEXTS) -> Stems:
     """Stems from `docs` (id, text) and `labelled` (id, label 0 or 1).
 
-    At most about `texts` rows of either label are read, chosen by a hash of the id.
+    At most about `texts` texts of either label are read, chosen by a hash of id and text.
     """
-    sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes.get(0) or not sizes.get(1):
-        return Stems([])
-    steps = 1 << 20
-    chosen = labelled.filter(
-        " or ".join(f"label = {k} and pmod(xxhash64(id), {steps}) < {int(steps * min(1.0, texts / n))}"
-                    for k, n in sizes.items())
-    )
-    # Bounded by `texts`, so this side is small whatever the labels' number.
-    rows = docs.join(F.broadcast(chosen), "id").select("label", "text")
+    rows = labelled_sample(docs, labelled, texts, by_label=True).select("label", "text")
 
     def count(batches):
         counts: dict[str, list[int]] = {}

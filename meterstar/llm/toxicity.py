@@ -78,8 +78,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, text_column: str = "text
     `learn_from` (a condition on the id), and never a feature. Rows without label are not
     learnt from, nor are null ids. Without labels of both kinds the score is their mean (0
     without any). Null and empty texts are scored by all-zero features. Ids may repeat;
-    other columns are kept and not looked at.
+    other columns are kept and not looked at. An empty table gives no rows. If `docs` has a
+    column of the score's name, the new one gets underscores before its own.
     """
+    score_column = free_name(docs, score_column)
     name = free_name(docs, "_features")
     plain = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     wanted = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label"))

@@ -1,5 +1,6 @@
 """Toxicity and quality scores: held-out accuracy, no leaks, hard rows."""
 
+import time
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from llm_rows import EDGES, documents  # noqa: F401
 
 from meterstar.llm import quality_cnn, registry, toxic_features, toxicity
-from meterstar.llm.common import read_table
+from meterstar.llm.common import labelled_sample, read_table
 
 BIG = "/root/testdata/sf0.1"
 
@@ -130,3 +131,40 @@ def test_the_end_of_a_long_text_counts():
     long = text(20_000)
     clean, junk = net.probabilities([long, long + b" #%$&" * 20_000])
     assert clean > 0.7 and junk < clean - 0.3
+
+
+def test_samples_are_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(6000)] + [(2, "same")] * 6000
+                                 + [(3, None), (None, "x"), (4, "long" * 99)], "id bigint, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 1), (2, 1)], "id bigint, label int")
+    sample = labelled_sample(docs, labels, 600, most_bytes=100).collect()
+    assert 400 < len(sample) < 800 and {r.id for r in sample} <= {1, 2}
+    both = labelled_sample(docs, labels, 600, by_label=True).collect()
+    assert 400 < len([r for r in both if r.label == 0]) < 800
+    assert sorted((r.id, r.text) for r in both if r.label == 1) == [(2, "same"), (4, "long" * 99)]
+    assert labelled_sample(docs, labels.limit(0), 600).collect() == []
+
+
+def slow_places(text):
+    """near_second_person and the places of spaced-out words, found from the start each time."""
+    T = toxic_features
+    lower = T.HIDDEN.sub("", text).lower()
+    words = T.TOKEN.findall(lower)
+    hits = [i for i, w in enumerate(words) if w in T.CLASS_OF]
+    spaced = [len(T.TOKEN.findall(lower, 0, m.start())) for m in T.SPACED.finditer(lower)
+              if T.CLASS_OF.get(T.NOT_LETTERS.sub("", m[0])) is not None]
+    person = [i for i, w in enumerate(words) if w in T.SECOND_PERSON]
+    return sum(min(abs(p - i) for p in person) <= T.NEAR for i in hits + spaced) if person else 0
+
+
+def test_features_are_linear_in_long_texts_and_equal():
+    rng = np.random.default_rng(6)
+    stems, near = toxic_features.Stems([]), toxic_features.FEATURES.index("near_second_person")
+    parts = ["you", "i d i o t", "@i d i o t", "x!i.d.i.o.t", "idiot", "a", "word", "$", "your", "moron", "s-t-u-p-i-d", "k i l l"]
+    for _ in range(300):
+        text = " ".join(rng.choice(parts, rng.integers(1, 40)))
+        assert toxic_features.features(text, stems)[near] == pytest.approx(np.log1p(slow_places(text)))
+    for text in ("you i d i o t word " * 55_000, "you idiot moron " * 65_000):
+        begun = time.perf_counter()
+        toxic_features.features(text, stems)
+        assert time.perf_counter() - begun < 10  # a second or two; hours before
