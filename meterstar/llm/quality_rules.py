@@ -15,7 +15,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.llm.common import free_name, over_texts
@@ -27,6 +27,7 @@ WINDOW = 8
 SHARE = 0.1
 MIN_DOCUMENTS = 20
 KEEP_PERCENT = 20  # of its words, at least
+FREQUENT_LINES = 200_000  # hashes of lines above the limits that tasks may hold, about 20 MB
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
@@ -104,6 +105,28 @@ def _measure(texts: list[str | None]) -> dict:
     }
 
 
+def _host_key(host: str) -> Column:
+    """A host as text; null is a value of its own, so that plain equality joins hold it."""
+    return F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit(""))
+
+
+def frequent_lines(texts: DataFrame, lines: DataFrame, share: float, min_documents: int) -> DataFrame:
+    """(host, mark) of the lines above the limits, from `texts` (host, text_hash) and `lines`
+    (the same and mark).
+
+    Distinct texts first, then plain counts: both are summed before they are shuffled.
+    """
+    documents = texts.distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    return (
+        lines.select("host", "mark", "text_hash").distinct()
+        .groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= min_documents)
+        .join(documents, "host")
+        .filter(F.col("n") > share * F.col("documents"))
+        .select("host", "mark")
+    )
+
+
 def judge(docs: DataFrame, host_column: str = "source", text_column: str = "text",
           share: float = SHARE, min_documents: int = MIN_DOCUMENTS,
           keep_text: bool = True) -> DataFrame:
@@ -128,25 +151,12 @@ def judge(docs: DataFrame, host_column: str = "source", text_column: str = "text
         measured = measured.drop(text_column)
     table = staged(measured.withColumn(row, F.monotonically_increasing_id()), "lines")
 
-    # Nulls as a value of their own, so that plain equality joins hold them.
-    where = F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit(""))
     lines = table.select(
-        row, where.alias("host"), F.col(f"{stats}._text_hash").alias("text_hash"),
+        row, _host_key(host).alias("host"), F.col(f"{stats}._text_hash").alias("text_hash"),
         F.explode(f"{stats}._lines").alias("line"),
     ).select(row, "host", "text_hash", "line.mark", "line.words")
-    # Distinct texts first, then plain counts: both are summed before they are shuffled.
-    documents = (
-        table.select(where.alias("host"), F.col(f"{stats}._text_hash").alias("text_hash"))
-        .distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
-    )
-    frequent = (
-        lines.select("host", "mark", "text_hash").distinct()
-        .groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_documents)
-        .join(documents, "host")
-        .filter(F.col("n") > share * F.col("documents"))
-        .select("host", "mark")
-    )
+    texts = table.select(_host_key(host).alias("host"), F.col(f"{stats}._text_hash").alias("text_hash"))
+    frequent = frequent_lines(texts, lines, share, min_documents)
     removed = (
         lines.select(row, "host", "mark", "words").join(frequent, ["host", "mark"])
         .groupBy(row)
@@ -175,18 +185,84 @@ def _as_struct(columns: dict) -> pa.StructArray:
 
 
 def without_lines(text: str, removed: set[bytes]) -> str:
-    """The text without the lines whose marks are in `removed`; blank lines stay."""
+    """The text without the lines whose marks are in `removed`; lines without words stay."""
     return "\n".join(
         line for line in text.split("\n")
-        if line.isspace() or not line or line_mark(line.encode("utf-8", "surrogatepass")) not in removed
+        if not line.strip(SPACES) or line_mark(line.encode("utf-8", "surrogatepass")) not in removed
     )
 
 
 def filter_documents(docs: DataFrame, host_column: str = "source",
-                     text_column: str = "text", length_column: str = "n_chars") -> DataFrame:
-    """The kept rows of `docs`, lines above the limits taken out of their texts, in its columns."""
+                     text_column: str = "text", length_column: str = "n_chars",
+                     share: float = SHARE, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """The kept rows of `docs`, lines above the limits taken out of their texts, in its columns.
+
+    As in `judge`: a null text is empty and goes, null hosts are one host, ids may repeat or be
+    null, repeated rows are judged alike, and an empty table gives no rows. Lengths of changed
+    texts are renewed.
+
+    The lines above the limits go to the tasks, which read the texts a second time and never
+    shuffle them; beyond FREQUENT_LINES such lines, the verdicts are joined to the rows instead.
+    """
+    host, text = free_name(docs, "_host"), text_column
+    keyed = docs.withColumn(host, _host_key(host_column))
+
+    def hashed():
+        def run(batch: pa.RecordBatch) -> dict:
+            own = batch.column(1).to_pylist()
+            marks = [list({line_mark(line) for line in (t or "").encode("utf-8", "surrogatepass").split(b"\n")
+                           if line.split()}) for t in own]
+            return {"host": batch.column(0), "marks": pa.array(marks, pa.list_(pa.binary())),
+                    "text_hash": pa.array([xxhash.xxh3_128_digest((t or "").encode("utf-8", "surrogatepass"))
+                                           for t in own], pa.binary())}
+
+        return run
+
+    texts = over_texts(keyed.select(F.col(host).alias("host"), F.col(text).alias("text")), "text",
+                       "host string, text_hash binary, marks array<binary>", hashed)
+    texts = staged(texts, "line-marks")
+    lines = texts.select("host", "text_hash", F.explode("marks").alias("mark"))
+    frequent = staged(frequent_lines(texts.select("host", "text_hash"), lines, share, min_documents), "frequent")
+    if frequent.count() > FREQUENT_LINES:
+        return _filtered_by_join(docs, host_column, text, length_column, share, min_documents)
+    held: dict[str, set[bytes]] = {}
+    for line in frequent.collect():
+        held.setdefault(line.host, set()).add(bytes(line.mark))
+
+    kept, cleaned = free_name(docs, "_kept"), free_name(docs, "_cleaned")
+
+    def make():
+        def clean(batch: pa.RecordBatch) -> dict:
+            own, hosts = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in (text, host))
+            measured = _measure(own)
+            words, repeats = (measured[n].to_numpy() for n in ("n_words", "n_repeat_words"))
+            out, good = [], []
+            for i, lines in enumerate(measured["_lines"].to_pylist()):
+                gone = held.get(hosts[i], ())
+                removed = {x["mark"] for x in lines if x["mark"] in gone}
+                left = words[i] - sum(x["words"] for x in lines if x["mark"] in removed)
+                failed = words[i] < MIN_WORDS or 100 * repeats[i] > MAX_REPEAT_PERCENT * words[i]
+                good.append(bool(not failed and left >= MIN_WORDS and 100 * left >= KEEP_PERCENT * words[i]))
+                out.append(without_lines(own[i], removed) if removed and good[-1] else None)
+            return {kept: pa.array(good), cleaned: pa.array(out, pa.string())}
+
+        return clean
+
+    out = over_texts(keyed, text, f"`{kept}` boolean, `{cleaned}` string", make, keep=True).filter(F.col(kept))
+    new = F.col(cleaned)
+    return out.select(*[
+        F.coalesce(new, F.col(c)).alias(c) if c == text
+        else F.when(new.isNull(), F.col(c)).otherwise(F.length(new)).alias(c) if c == length_column
+        else F.col(c)
+        for c in docs.columns
+    ])
+
+
+def _filtered_by_join(docs: DataFrame, host_column: str, text_column: str, length_column: str,
+                      share: float, min_documents: int) -> DataFrame:
+    """`filter_documents` for any number of lines above the limits."""
     name = free_name(docs, "verdict")
-    kept = judge(docs, host_column, text_column).filter(F.col(f"{name}.kept"))
+    kept = judge(docs, host_column, text_column, share, min_documents).filter(F.col(f"{name}.kept"))
     marks = free_name(kept, "_removed")
     kept = kept.withColumn(marks, F.col(f"{name}.removed")).drop(name)
     cleaned = free_name(kept, "_cleaned")

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from oracle import compare, connect
 from llm_rows import DATA, EDGES, documents  # noqa: F401
 
@@ -78,6 +79,30 @@ def test_repeated_windows():
         assert Q.repeated_words(ids, owner, 4).tolist() == want
 
 
+def test_white_space_that_is_no_separator_is_a_word():
+    """A line of a no-break space has a word, so its mark counts and it can go."""
+    odd = "\u00a0"
+    assert Q.without_lines(f"a\n{odd}\n \t\nb", {Q.line_mark(odd.encode())}) == "a\n \t\nb"
+
+
+@pytest.mark.parametrize("held", [200_000, 0])
+def test_both_ways_to_filter_are_the_verdicts(spark, documents, monkeypatch, held):  # noqa: F811
+    monkeypatch.setattr(Q, "FREQUENT_LINES", held)
+    rng = random.Random(21)
+    rows = random_rows(rng, 120) + [(d, t, "hot") for d, t in EDGES]
+    df = documents(rows)
+    judged = Q.judge(df, share=0.1, min_documents=5)
+    want = []
+    for r in judged.filter("_verdict.kept").collect():
+        gone = {bytes(m) for m in r._verdict.removed or ()}
+        want.append((r.doc_id, Q.without_lines(r.text, gone) if gone else r.text))
+    out = Q.filter_documents(df, share=0.1, min_documents=5)
+    assert out.columns == df.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and 0 < len(got) < len(rows)
+    assert any(t != x for (i, t) in got for j, x, _ in rows if i == j)
+
+
 def test_filtered_documents_lose_the_common_lines(spark, documents):  # noqa: F811
     banner = "Read 5 more stories in our weekly paper"
     own = ["".join(chr(97 + (i // 7**k) % 7) for k in range(3)) for i in range(40)]
