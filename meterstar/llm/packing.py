@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import over_texts
+from meterstar.llm.common import free_name, over_texts
 from meterstar.scratch import staged
 
 CAPACITY = 2048
@@ -137,27 +137,24 @@ def plan_slots(counts: dict[int, int], capacity: int) -> list[tuple[int, int, in
     return slots
 
 
-def _ranked(pieces: DataFrame, rows: int) -> DataFrame:
-    """`pieces` with a gapless rank from 0 within each length.
+def _ranked(pieces: DataFrame, row: str, rank: str, rows: int) -> DataFrame:
+    """`pieces` with a gapless `rank` from 0 within each length, in the place of `row`.
 
     A length may hold most of the rows, so ranks are made in groups of bounded size: within
     a group by a window, and from group to group by a running sum over group counts.
     """
+    group, n, before, inside = (free_name(pieces, x) for x in ("_group", "_n", "_before", "_inside"))
     groups = max(1, rows // RANK_GROUP)
-    grouped = pieces.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
-    counts = grouped.groupBy("length", "_group").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_group").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = counts.select(
-        "length", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy("length", "_group").orderBy("_row")
+    grouped = pieces.withColumn(group, F.pmod(F.xxhash64(row), F.lit(groups)))
+    counts = grouped.groupBy("length", group).agg(F.count(F.lit(1)).alias(n))
+    earlier = Window.partitionBy("length").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("length", group, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    own = Window.partitionBy("length", group).orderBy(row)
     return (
-        grouped.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets, ["length", "_group"])
-        .withColumn("_rank", F.col("_before") + F.col("_inside"))
-        .drop("_group", "_before", "_inside", "_row")
+        grouped.withColumn(inside, F.row_number().over(own) - 1)
+        .join(offsets, ["length", group])
+        .withColumn(rank, F.col(before) + F.col(inside))
+        .drop(group, before, inside, row)
     )
 
 
@@ -165,29 +162,33 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Give every row of `pieces` a `sequence_id` and an `offset`, gapless from 0.
 
     `pieces` needs a column `length` (1 to `capacity`) and is evaluated once; it keeps its
-    other columns. Repeated rows take a slot each. No pieces give no rows.
+    other columns; new names that it has get underscores before them. Repeated rows take a
+    slot each. No pieces give no rows.
     """
     spark = pieces.sparkSession
+    row, rank, slots_name, slot = (free_name(pieces, x) for x in ("_row", "_rank", "_slots", "_slot"))
     # The number of a row is frozen by writing it.
-    table = staged(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    table = staged(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
     # At most `capacity` rows, whatever the input's size.
     counts = {r["length"]: r["n"] for r in table.groupBy("length").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     slots: dict[int, list[tuple[int, int, int]]] = {}
-    for length, rank, _, sequence, offset in plan_slots(counts, capacity):
-        slots.setdefault(length, []).append((rank, sequence, offset))
+    for length, first, _, sequence, offset in plan_slots(counts, capacity):
+        slots.setdefault(length, []).append((first, sequence, offset))
     plan = spark.createDataFrame(
         list(slots.items()),
-        "length long, _slots array<struct<rank: long, sequence: long, offset: long>>",
+        f"length long, `{slots_name}` array<struct<rank: long, sequence: long, offset: long>>",
     )
-    taken = F.element_at(F.filter("_slots", lambda s: s["rank"] <= F.col("_rank")), -1)
+    taken = F.element_at(F.filter(slots_name, lambda s: s["rank"] <= F.col(rank)), -1)
     return (
         # The plan has at most `capacity` rows and is bounded by it, not by the data.
-        _ranked(table, sum(counts.values())).join(F.broadcast(plan), "length")
-        .withColumn("_slot", taken)
-        .withColumn("sequence_id", F.col("_slot.sequence") + F.col("_rank") - F.col("_slot.rank"))
-        .withColumn("offset", F.col("_slot.offset"))
-        .select(*pieces.columns, "sequence_id", "offset")
+        _ranked(table, row, rank, sum(counts.values())).join(F.broadcast(plan), "length")
+        .withColumn(slot, taken)
+        .select(
+            *pieces.columns,
+            (F.col(f"{slot}.sequence") + F.col(rank) - F.col(f"{slot}.rank")).alias(free_name(pieces, "sequence_id")),
+            F.col(f"{slot}.offset").alias(free_name(pieces, "offset")),
+        )
     )
 
 

@@ -93,3 +93,14 @@ def test_given_documents_fill_their_sequences(spark, library, monkeypatch):
     packed = packing.pack_documents(docs, keep_ids=False).collect()
     used, least = check([(r.doc_id, r.text) for r in docs.collect()], packed, library)
     assert used <= least * 1.02 + 1
+
+
+def test_clashing_names_are_kept(spark):
+    names = "length bigint, _row int, _group string, _n int, _before int, _inside int, _slot int, _rank int, offset string"
+    rows = [(5, 1, "g", 2, 3, 4, 5, 6, "o"), (7, 1, "g", 2, 3, 4, 5, 6, "o"), (5, 9, None, 2, 3, 4, 5, 6, "o")]
+    df = spark.createDataFrame(rows, names)
+    out = packing.pack(df, 12)
+    assert out.columns == [*df.columns, "sequence_id", "_offset"]
+    got = out.collect()
+    assert sorted((tuple(r)[:9] for r in got), key=str) == sorted(rows, key=str)
+    assert {(r.offset, r._group) for r in got} == {("o", "g"), ("o", None)}

@@ -188,3 +188,21 @@ def test_redacted_documents_keep_their_columns(spark, documents):
     assert rows[1].text is None and rows[3].n_chars == 300_000
     assert out.filter(F.col("text").isNull()).count() == 2
     assert secrets.redact_documents(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("finding", ["AKIA" + "A" * 20, "token=" + "a" * 12, "0123456789abcdef" * 2])
+def test_base64_of_any_first_byte_and_phase_is_read(finding):
+    """Also runs that come out all in one case."""
+    for first in range(256):
+        for phase in range(3):
+            data = bytes([first]) + b"D" * phase + b" " + finding.encode()
+            for run in (b64(data), b64(data[1:])):
+                text = f"key {run} end"
+                assert secrets.find_secrets(text)[0], (first, phase, run)
+
+
+def test_a_run_of_one_case_is_redacted(spark, documents):  # noqa: F811
+    run = b64(b"DAKIA" + b"A" * 20).rstrip("=")
+    assert run.isupper()
+    out = secrets.redact_documents(documents([(1, f"see {run} there")])).first().text
+    assert run not in out and out.startswith("see <")
