@@ -43,6 +43,7 @@ PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
 ONE_PERCENT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 UNICODE = re.compile(
     r"(?:\\(?:u005[cC])*u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
+    r"|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}"
 )
 ONE_UNICODE = re.compile(r"u([0-9A-Fa-f]{4})(?=\\|$)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -137,8 +138,8 @@ def _percent(run: str) -> str:
 
 
 def _unicode(run: str) -> str | None:
-    if run.startswith("&#"):
-        code = int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])
+    if run.startswith(("&#", "\\U", "\\u{")):
+        code = int(run[2:-1]) if run[0] == "&" and run[2] != "x" else int(run[2:].strip("x{};"), 16)
         return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
     if run.startswith("\\x"):
         return bytes.fromhex(run.replace("\\x", "")).decode("utf-8", "surrogateescape")

@@ -34,6 +34,9 @@ LAYERS = {
     "url twice": urllib.parse.quote(urllib.parse.quote(SECRET, safe=""), safe=""),
     "unicode": escapes(SECRET),
     "hex escapes": "".join(f"\\x{b:02x}" for b in SECRET.encode()),
+    "long escapes": "".join(f"\\U{ord(c):08x}" for c in SECRET),
+    "braced escapes": "".join(f"\\u{{{ord(c):x}}}" for c in SECRET),
+    "decimal entities": "".join(f"&#{ord(c)};" for c in SECRET),
     "entities": "".join(f"&#x{b:x};" for b in SECRET.encode()),
     "base64": b64(SECRET.encode()),
     "base64 three times": b64(b64(b64(SECRET.encode()).encode()).encode()),
