@@ -78,8 +78,8 @@ def _primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _foreign_keys(rows: DataFrame, mart) -> DataFrame:
-    return audit.foreign_key_audit(
+def _foreign_keys(rows: DataFrame, mart, check=audit.foreign_key_audit) -> DataFrame:
+    return check(
         rows,
         {
             "pickup_date_key": (mart.dim_date, "date_key"),
@@ -295,6 +295,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             F.count(F.lit(1)).alias("trips"), F.count_distinct("trip_id").alias("ids")
         ),
         "fk_orphans": lambda s: _foreign_keys(s.fact, s),
+        "fk_orphans_by_bits": lambda s: _foreign_keys(s.fact, s, audit.foreign_key_audit_by_bits),
         "scd0_payment": lambda s: dimensions.keep_first(
             s.dim_payment,
             star.payment_seed(s.fact.sparkSession).drop("is_electronic"),
@@ -335,6 +336,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fk_orphans_unchecked": lambda spark, d: _foreign_keys(
             star.fact_measures(_trips(spark, d)), star_of(spark, d)
         ),
+        "fk_unchecked_by_bits": lambda spark, d: _foreign_keys(
+            star.fact_measures(_trips(spark, d)), star_of(spark, d), audit.foreign_key_audit_by_bits
+        ),
         "fk_orphan_dates": lambda spark, d: audit.orphan_keys(
             _trips(spark, d), "pickup_date", star_of(spark, d).dim_date, "date_key"
         ),
@@ -711,6 +715,8 @@ def oracle_sql() -> dict[str, str]:
     # The same questions, answered another way.
     texts |= {
         "q1_from_dates": texts["q1_last_month"],
+        "fk_orphans_by_bits": texts["fk_orphans"],
+        "fk_unchecked_by_bits": texts["fk_orphans_unchecked"],
         "split_counts_while_writing": texts["split_counts"],
         "vw_monthly_summary_kept": texts["vw_monthly_summary"],
         "vw_zone_revenue_kept": texts["vw_zone_revenue"],

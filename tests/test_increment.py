@@ -1,9 +1,11 @@
 """Loads of new files, maintained totals, metrics of writes, swaps that die, ids by intervals."""
 
 import os
+import random
 import subprocess
 import sys
 import textwrap
+from datetime import date
 from decimal import Decimal
 from glob import glob
 
@@ -435,3 +437,39 @@ def test_counts_work_out_each_outcome_once(spark, explained):
     assert plan.count("'rejected'") <= 2 and "outcome" in plan
     none = quality.split_counts(derive_trips(order_line_trips(spark, SMALL)).limit(0)).first()
     assert set(none.asDict().values()) == {0}
+
+
+# -- references by bitmaps -----------------------------------------------------------
+
+
+def test_references_by_bits_equal_those_by_keys(spark):
+    rng = random.Random(7)
+
+    def check(keys, known, kind="bigint"):
+        dim = spark.createDataFrame([(k, "x") for k in known], f"k {kind}, name string")
+        fact = spark.createDataFrame([(a, b) for a, b in zip(keys, reversed(keys))], f"a {kind}, b {kind}")
+        references = {"a": (dim, "k"), "b": (dim.filter("k is null or k <> k"), "k")}
+        by_bits = audit.foreign_key_audit_by_bits(fact, references)
+        assert rows(by_bits) == rows(audit.foreign_key_audit(fact, references))
+        assert by_bits.schema == audit.foreign_key_audit(fact, references).schema
+
+    far = [-(2**63), 2**63 - 1, 0, -1, 63, 64, 65, None]
+    check(far, [-1, 0, 63, 64, 127, 128, 40_000, None, 0])
+    check([rng.randrange(-70_000, 70_000) for _ in range(3000)], [rng.randrange(-70_000, 70_000) for _ in range(900)])
+    check(far, [0, 2**40])  # too far apart for bits
+    check(far, [])
+    check([], [1])
+    check([None, None], [1])
+    days = [date(1969, 12, 31), date(1970, 1, 1), date(2024, 2, 29), None, date(1, 1, 1)]
+    check(days, days[1:3], "date")
+    check(["a", "b", None], ["a"], "string")
+
+
+def test_references_by_bits_expand_nothing(mart, spark, monkeypatch):
+    plans = []
+    own = type(mart.fact).agg
+    monkeypatch.setattr(type(mart.fact), "agg", lambda self, *a: (plans.append(own(self, *a)), plans[-1])[1])
+    found = audit.foreign_key_audit_by_bits(mart.fact, {
+        "pickup_zone_key": (mart.dim_zone, "zone_key"), "pickup_date_key": (mart.dim_date, "date_key")})
+    assert {(r.orphan_keys, r.orphan_rows) for r in found.collect()} == {(0, 0)}
+    assert not any("Expand" in p._jdf.queryExecution().toString() for p in plans)
