@@ -20,7 +20,11 @@ from meterstar.sources.warehouse import read_star
 def _etl(args: argparse.Namespace) -> int:
     spark = build_session("meterstar-etl")
     try:
-        options = dict(composed=args.composed_reasons, already_by_month=args.already_by_month)
+        options = dict(
+            composed=args.composed_reasons,
+            already_by_month=args.already_by_month,
+            sort_stage=args.sort_stage,
+        )
         if args.new_files:
             result = load_new_files(
                 spark, args.raw, args.zones, args.warehouse, args.quarantine, args.composed_reasons
@@ -76,6 +80,8 @@ def main(argv: list[str] | None = None) -> int:
     source.add_argument("--tables", help="folder of order-line tables, instead of files")
     etl.add_argument("--zones", default="zones.csv", help="zone lookup CSV; may be missing")
     etl.add_argument("--stage", help="folder in which raw trips are kept for both outputs")
+    etl.add_argument("--sort-stage", action="store_true",
+                     help="order the kept raw trips so that reads skip rejected ones")
     etl.add_argument("--warehouse", required=True)
     etl.add_argument("--quarantine", required=True)
     etl.add_argument("--new-files", action="store_true",

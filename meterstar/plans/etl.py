@@ -81,14 +81,18 @@ def run(
     composed: bool = False,
     already_by_month: bool = False,
     stage: str | bool = False,
+    sort_stage: bool = False,
 ) -> EtlResult:
     """Run the job on raw trips.
 
     `raw` is evaluated twice, once per written output, each time with that output's
     filter pushed down. If it is costlier than a file scan, or not the same each time,
     name a `stage` folder, or say True for one in the session's shared folder: it is
-    written there once and both outputs read that copy.
+    written there once and both outputs read that copy; with `sort_stage` in an order in which
+    the fact's read skips the row groups of rejected fares.
     """
+    if stage and sort_stage:
+        raw = quality.sorted_for_rules(raw)
     if stage is True:
         raw = staged(raw, "raw-trips")
     elif stage:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -13,12 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir or, where that is unset, one in the warehouse.
 
-    Driver and executors share both, whatever the master is.
+    Off one machine, a warehouse on a local disk will not do, and the first has to be set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local") and ":/" not in warehouse.replace("file:", ""):
+        # Executors elsewhere would write to disks of their own.
+        warnings.warn(f"set spark.checkpoint.dir: executors may not share {warehouse}", stacklevel=2)
+    return warehouse + "/_scratch"
 
 
 # The lists that want to know of new folders, in this thread of work.
