@@ -124,3 +124,30 @@ def test_query_matches_sql(spark):
     con = connect(DATA)
     con.execute(f"create view documents as select * from '{DATA}/documents.parquet'")
     assert compare(registry.op5_quality_rules(spark, DATA), con, registry.OP5_SQL) == []
+
+
+def test_sql_agrees_where_lines_go(spark, tmp_path):
+    """A large host and a small one, each with lines above its limit and lines below it."""
+    rng = random.Random(31)
+
+    def line(words):
+        return " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(words))
+
+    rows, banners = [], [line(9) + " 2024", line(12), line(7)]
+    for i in range(420):
+        host = "large" if i < 360 else "small" if i < 410 else None
+        lines = [line(rng.randint(3, 14)) for _ in range(rng.randint(1, 4))]
+        lines += [b.replace("2024", str(rng.randint(1, 9999))) for b, share in zip(banners, (0.5, 0.12, 0.06)) if rng.random() < share]
+        if i % 7 == 0:
+            lines = [banners[0], banners[0].upper(), line(2)]  # little else: depleted on its host
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines) if i % 50 else None, host))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = connect(DATA)
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    df = registry.op5_quality_rules(spark, str(tmp_path))
+    assert compare(df, con, registry.OP5_SQL) == []
+    judged = Q.judge(docs).filter("verdict.removed is not null").groupBy("source").count().collect()
+    assert {r.source for r in judged} >= {"large", "small"}
+    assert df.filter("not base_failed and not kept").count() > 0
