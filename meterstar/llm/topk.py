@@ -48,15 +48,16 @@ def vectors(df: DataFrame, id_column: str, vector_column: str, scale: int = SCAL
 
 def _cells(queries: DataFrame, candidates: DataFrame, chunks: tuple[int, int]):
     """Both sides keyed by (query chunk, candidate chunk)."""
-    def chunk(n: int) -> Column:
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    def chunk(n: int, by: str) -> Column:
+        return F.pmod(F.xxhash64(by), F.lit(n)).cast("int")
 
     def all_of(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     q, c = chunks
-    left = queries.withColumn("q", chunk(q)).withColumn("c", all_of(c))
-    right = candidates.withColumn("c", chunk(c)).withColumn("q", all_of(q))
+    left = queries.withColumn("q", chunk(q, "id")).withColumn("c", all_of(c))
+    # By row: an id may repeat any number of times.
+    right = candidates.withColumn("c", chunk(c, "row")).withColumn("q", all_of(q))
     return left.groupBy("q", "c").cogroup(right.groupBy("q", "c"))
 
 
@@ -146,7 +147,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K,
     spark = queries.sparkSession
     importable(spark)
     queries = staged(queries.groupBy("id").agg(F.min("v").alias("v")), "queries")
-    candidates = staged(candidates.select("id", "v"), "candidates")
+    candidates = staged(candidates.select("id", "v", F.monotonically_increasing_id().alias("row")), "candidates")
     sizes = [df.count() for df in (queries, candidates)]
     chunks = tuple(max(1, -(-n // c)) for n, c in zip(sizes, (query_chunk, candidate_chunk)))
     # A bound on every score: each component's largest size, summed over the vector.

@@ -53,6 +53,27 @@ def test_few_candidates_equal_vectors_and_no_rows(spark):
     assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in search(spark, zero, 4)} == brute(zero, 4)
 
 
+def test_rows_of_one_id_are_dealt_over_chunks(spark):
+    rows = [(3, [float(i % 7), 1.0]) for i in range(400)] + [(0, [1.0, 1.0]), (20, [2.0, 0.0])]
+    got = [tuple(r) for r in search(spark, rows, 9, candidate_chunk=40)]
+    assert sorted(got) == sorted(brute_all(rows, 9))
+    df = spark.createDataFrame([(r[0], [int(64 * x) for x in r[1]], i) for i, r in enumerate(rows)],
+                               "id bigint, v array<bigint>, row bigint")
+    cells = df.select((F.pmod(F.xxhash64("row"), F.lit(10))).alias("c")).groupBy("c").count().collect()
+    assert len(cells) == 10 and max(r["count"] for r in cells) < 90
+
+
+def brute_all(rows, k):
+    """As `brute`, with every row of a repeated id."""
+    vectors = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    out = []
+    for q in sorted({i for i, _ in vectors if i % 20 == 0}):
+        x = min(v for i, v in vectors if i == q)
+        scored = sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in vectors if i != q)
+        out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
+    return out
+
+
 def test_query_matches_sql(spark):
     con = connect(DATA)
     con.execute(f"create view embeddings as select * from '{DATA}/embeddings.parquet'")
