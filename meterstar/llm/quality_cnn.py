@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from meterstar.llm.common import free_name, labelled_sample, over_texts
 
 CHUNK, OVERLAP = 512, 64
-WIDTH, STRIDE = 8, 4
+WIDTH, STRIDE = 8, 2
 EMBEDDING, FILTERS = 8, 24
 CHUNKS_AT_ONCE = 256
 
