@@ -23,7 +23,8 @@ from meterstar.operators.star import (
     build_fact_trips,
     fact_measures,
 )
-from meterstar.plans import etl, reports
+from meterstar.plans import etl, maintained, reports
+from meterstar.plans.increment import load_new_files
 from meterstar.session import build_session
 from meterstar.sinks.warehouse import write_fact, write_star, write_table
 from meterstar.sources.tables import nation_zones, order_line_trips
@@ -126,6 +127,37 @@ def main() -> None:
         "dim_date_from_raw": run(lambda: build_dim_date(valid)),
     }
 
+    references = {
+        "pickup_date_key": (star.dim_date, "date_key"),
+        "pickup_zone_key": (star.dim_zone, "zone_key"),
+        "dropoff_zone_key": (star.dim_zone, "zone_key"),
+        "payment_key": (star.dim_payment, "payment_key"),
+    }
+    kept = f"{out}/star"
+    maintained.refresh(spark, kept)
+    # A warehouse of files, and one more file a run: a month's trips.
+    month = raw.filter("tpep_pickup_datetime between '1998-03-01' and '1998-03-31'").coalesce(1)
+    raw.write.parquet(f"{out}/files/all")
+    place = [f"{out}/files/*"], f"{out}/no-zones.csv", f"{out}/loaded", f"{out}/loaded-aside"
+    load_new_files(spark, *place)
+
+    def one_more_file():
+        month.write.parquet(f"{out}/files/{time.monotonic_ns()}")
+        load_new_files(spark, *place)
+
+    times |= {
+        "dates_last_month": run(lambda: reports.last_month_of_dates(fact, star.dim_date, "1998-04-15")),
+        "dates_quarter": run(lambda: reports.quarter_summary(fact, star.dim_date, 1998, 2)),
+        "kept_monthly_summary": run(lambda: maintained.monthly_summary(spark, kept)),
+        "kept_zone_revenue": run(lambda: maintained.zone_revenue(spark, kept)),
+        "renew_totals_of_one_month": timed(lambda: maintained.refresh(spark, kept, [(1998, 3)])),
+        "load_one_new_file": timed(one_more_file),
+        "fk_audit": run(lambda: audit.foreign_key_audit(fact, references)),
+        "fk_audit_by_bits": run(lambda: audit.foreign_key_audit_by_bits(fact, references)),
+        "pk_audit_of_ids": run(lambda: audit.duplicate_keys(fact, ["trip_id"])),
+        "pk_audit_by_intervals": run(lambda: audit.duplicate_ids(fact)),
+    }
+
     write_fact(measures.repartition(int(CPUS)), f"{out}/plain", already_by_month=True)
     counts = {
         "fact_rebalanced": len(glob.glob(f"{out}/star/fact_trips/*/*/*.parquet")),
